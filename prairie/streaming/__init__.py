@@ -1,0 +1 @@
+"""The roll-ups that also run on an unbounded input."""
