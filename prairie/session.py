@@ -1,18 +1,10 @@
-"""Session settings and the helpers that keep plans safe at scale."""
+"""Session settings and the helpers that write intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is hinted as broadcast only when a limit or a parameter proves that it has at
-# most this many (narrow) rows. Everything else is left to the measured sizes of AQE.
-BROADCAST_ROWS = 100_000
-
-_LOCAL_DIRS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -37,45 +29,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session may fall back to a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder that the driver and all executors can reach, as the cluster names it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="prairie-")
-    spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[app])
-    return _LOCAL_DIRS[app]
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has been written to yet.
+
+    What is written there is removed when the application ends, if not before.
+    """
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and continue from the files.
+def forget(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing will read again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-    The copy survives the loss of executors and ends the lineage of loops.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def store(df: DataFrame, name: str = "stored", codec: str = "zstd") -> tuple[DataFrame, str]:
+    """Compute ``df`` once into the shared folder; the table read back, and its path.
 
-def stored(df: DataFrame, name: str = "stored") -> DataFrame:
-    """Like :func:`cut`, but as a Parquet table: columns can be pruned, sizes are known."""
+    The copy survives the loss of executors, ends the lineage of loops and prunes columns.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str = "stored", codec: str = "zstd") -> DataFrame:
+    """Like :func:`store`, where the path is not needed."""
+    return store(df, name, codec)[0]
 
 
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast for a side proven to hold at most ``rows`` rows, if that is few."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
