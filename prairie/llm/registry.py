@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chat", "quality", "secrets")
+MODULES = ("chat", "lines", "quality", "secrets")
 
 
 def _gather(what: str) -> dict:
