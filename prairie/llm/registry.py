@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chat", "lines", "quality", "secrets")
+MODULES = ("chat", "decontaminate", "lines", "quality", "secrets")
 
 
 def _gather(what: str) -> dict:
