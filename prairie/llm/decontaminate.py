@@ -20,9 +20,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prairie.llm.batches import add_columns
 from prairie.session import table
 
 WIDTH = 13
@@ -89,6 +91,21 @@ def _scan(automaton, norm: str) -> tuple[list[tuple[int, int]], set[int]]:
     return [(int(s), n) for s, (_, (_, _, n)) in zip(starts, found)], {i for _, (i, _, _) in found}
 
 
+def _marked(text: str, n_words: int, runs: list[tuple[int, int]]) -> tuple[int, list[dict]]:
+    """Number of hit words, and the places of their runs."""
+    if not runs:
+        return 0, []
+    at = np.array(runs)
+    change = np.zeros(n_words + 1, np.int64)
+    np.add.at(change, at[:, 0], 1)
+    np.add.at(change, at.sum(1), -1)
+    inside = np.concatenate([[0], (change.cumsum()[:n_words] > 0).astype(np.int8), [0]])
+    first, last = word_places(text)
+    edge = np.diff(inside)
+    pairs = zip(first[np.flatnonzero(edge == 1)], last[np.flatnonzero(edge == -1) - 1])
+    return int(inside.sum()), [{"start": int(a), "end": int(b)} for a, b in pairs]
+
+
 def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """``key``, ``n_words``, ``n_hit``, ``items`` (sorted ids) and ``spans``: the hit places.
 
@@ -98,10 +115,11 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     blocks = _blocks(items, item_key, item_text, width, block)
     sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin():
         only = _automaton(sent[0].value) if len(sent) == 1 else None
-        for batch in batches:
-            texts = [t or "" for t in batch["_text"]]
+
+        def make(batch: pa.RecordBatch) -> dict[str, list]:
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
             norms = [words(t) for t in texts]
             counts = [len(n) for n in norms]
             norms = [(b" " + b" ".join(n) + b" ").decode("latin-1") if n else "" for n in norms]
@@ -114,28 +132,19 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
                         runs, found = _scan(automaton, norm)
                         hits[i] += runs
                         ids[i].update(item for w in found for item in one.value[w][1])
-            n_hit, spans = [], []
-            for t, n, own in zip(texts, counts, hits):
-                mark = np.zeros(n + 1, np.int64)
-                if own:
-                    at = np.array(own)
-                    np.add.at(mark, at[:, 0], 1)
-                    np.add.at(mark, at[:, 0] + at[:, 1], -1)
-                inside = np.concatenate([[0], (mark.cumsum()[:n] > 0).astype(np.int8), [0]])
-                n_hit.append(int(inside.sum()))
-                if own:
-                    first, last = word_places(t)
-                    edge = np.diff(inside)
-                    pairs = zip(first[np.flatnonzero(edge == 1)], last[np.flatnonzero(edge == -1) - 1])
-                    spans.append([{"start": int(a), "end": int(b)} for a, b in pairs])
-                else:
-                    spans.append([])
-            yield pd.DataFrame({"_key": batch["_key"], "n_words": counts, "n_hit": n_hit, "items": [sorted(i) for i in ids], "spans": spans})
+            marked = [_marked(*x) for x in zip(texts, counts, hits)]
+            return {
+                "n_words": counts,
+                "n_hit": [n for n, _ in marked],
+                "items": [sorted(i) for i in ids],
+                "spans": [s for _, s in marked],
+            }
+
+        return make
 
     rows = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-    kind = rows.schema["_key"].dataType.simpleString()
-    schema = f"_key {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
-    return rows.mapInPandas(run, schema).withColumnRenamed("_key", key)
+    added = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
+    return add_columns(rows, added, begin, drop=("_text",)).withColumnRenamed("_key", key)
 
 
 def contaminated():
@@ -157,10 +166,10 @@ def op6_contamination(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated, with all their columns.
 
-    The rows travel through the scan as their keys, so that they need not be joined again.
+    The scan carries each row as its key, so that nothing is joined.
     """
     row = F.struct(*(docs[c] for c in docs.columns))
-    scanned = scan(docs.select(F.to_json(row).alias("_row") if False else row.alias("_row"), docs["text"].alias("_body")), table(spark, sf_dir, "benchmark"), "_row", "_body")
+    scanned = scan(docs.select(row.alias("_row"), docs["text"].alias("_body")), table(spark, sf_dir, "benchmark"), "_row", "_body")
     return scanned.where(~contaminated()).select("_row.*")
 
 

@@ -17,16 +17,16 @@ gives no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser as parser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prairie.llm.batches import add_columns
 from prairie.session import table
 
 MOST_STRINGS = 64  # of an exact set, before it is turned into trigrams
@@ -200,22 +200,23 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[
     if any(ord(c) > 127 for g in grams for c in g):
         raise ValueError("rules must be written in ASCII")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin():
         patterns = [rule.compiled() for rule in rules]
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch["_text"]]
+
+        def make(batch: pa.RecordBatch) -> dict[str, list]:
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
             segment = Segment([t.encode("utf-8", "surrogatepass").lower() for t in texts], grams)
             found: list[list] = [[] for _ in texts]
             for kind, (rule, pattern, query) in enumerate(zip(rules, patterns, queries)):
                 for i in np.flatnonzero(segment.candidates(query)):
                     found[i] += [(start, kind, end) for start, end in _spans(rule, pattern, texts[i])]
-            yield pd.DataFrame(
-                {"_key": batch["_key"], "spans": [[{"kind": k, "start": a, "end": b} for a, k, b in sorted(f)] for f in found]}
-            )
+            return {"spans": [[{"kind": k, "start": a, "end": b} for a, k, b in sorted(f)] for f in found]}
+
+        return make
 
     rows = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-    kind = rows.schema["_key"].dataType.simpleString()
-    return rows.mapInPandas(run, f"_key {kind}, spans array<struct<kind:int,start:int,end:int>>").withColumnRenamed("_key", key)
+    found = add_columns(rows, "spans array<struct<kind:int,start:int,end:int>>", begin, drop=("_text",))
+    return found.withColumnRenamed("_key", key)
 
 
 def op1_secrets(spark, sf_dir: str) -> DataFrame:
