@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chat", "decontaminate", "lines", "quality", "secrets")
+MODULES = ("secrets", "chat", "packing", "lines", "decontaminate", "binary", "quality")
 
 
 def _gather(what: str) -> dict:
