@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "chat", "packing", "lines", "decontaminate", "binary", "quality")
+MODULES = ("secrets", "chat", "packing", "lines", "decontaminate", "toxicity", "binary", "quality")
 
 
 def _gather(what: str) -> dict:
