@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "chat", "hmm", "packing", "lines", "decontaminate", "toxicity", "binary", "quality")
+MODULES = ("secrets", "chat", "hmm", "packing", "lines", "decontaminate", "jaccard", "toxicity", "binary", "quality")
 
 
 def _gather(what: str) -> dict:
