@@ -131,7 +131,8 @@ def encoded(rows: DataFrame, lex: Lexicon) -> DataFrame:
                 numbers = np.fromiter(map(get, own), np.int64, len(own))
                 rare = numbers < 0
                 common = numbers[~rare]
-                cells = np.where(rare, OWN - 1 - numbers, lex.cell[numbers] if len(lex.cell) else 0)
+                cells = OWN - 1 - numbers
+                cells[~rare] = lex.cell[common]
                 shared = cells >= OWN
                 rest = Counter(own[i] for i in np.flatnonzero(rare))
                 out["n_tokens"].append(len(own))
@@ -255,7 +256,9 @@ def improved(rows: DataFrame, model: Model, share: np.ndarray) -> Model:
         total[r.place] = r.n
     start = total[:states] + 1
     move = total[states : states + states * states].reshape(states, states) + 1
-    emit = total[states + states * states :].reshape(cells, states) + PRIOR * share[:, None]
+    emit = total[states + states * states :].reshape(cells, states)
+    # Each cell is also seen once by all states, as often as they are taken: rare words lean on that.
+    emit = emit + PRIOR * share[:, None] + emit.sum(0) / max(emit.sum(), 1.0)
     return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 

@@ -35,8 +35,8 @@ from prairie.llm.batches import add_columns
 from prairie.operators.graph import components
 from prairie.session import stored, table
 
-SHINGLE = 4
-PERCENT = 85
+SHINGLE = 5
+PERCENT = 80
 FREQUENT = 1_000_000  # shingles above this share of all are ordered by their counts
 RANGES = 512  # of the suffix filter
 BLOCK = 256  # classes of a bucket that one side of a comparison holds
@@ -334,7 +334,7 @@ def near(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:
-    return near(table(spark, sf_dir, "documents"))
+    return near(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
