@@ -1 +1,10 @@
 """Column functions: one or more columns in, one column out."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def as_column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from prairie.functions import as_column as _col
 
 
 # Dates -----------------------------------------------------------------------------
@@ -64,8 +62,17 @@ def snippet(c, width: int = 300) -> Column:
 
 
 def six_decimals(c) -> Column:
-    """Text with six digits after the point."""
-    return F.format_string("%.6f", _col(c).cast("double"))
+    """Text with six digits after the point; NULL stays NULL.
+
+    Halves of the decimal text are rounded up (``0.0000005`` gives ``0.000001``).
+    """
+    c = _col(c).cast("double")
+    return F.when(c.isNotNull(), F.format_string("%.6f", c))
+
+
+def trimmed(c) -> Column:
+    """Without blanks and U+0009 to U+000D at both ends."""
+    return F.btrim(_col(c), F.lit(" \t\n\x0b\x0c\r"))
 
 
 # Model arithmetic ------------------------------------------------------------------
@@ -90,7 +97,9 @@ def logit(p) -> Column:
 
 
 def idf_log10(n, df) -> Column:
-    return F.log10(_col(n).cast("double") / _col(df))
+    """log10(n / df); a word that occurs in no document counts as one that occurs in one."""
+    df = _col(df)
+    return F.log10(_col(n).cast("double") / F.when(df > 0, df).otherwise(1))
 
 
 def idf_ln(n, df) -> Column:
@@ -99,22 +108,37 @@ def idf_ln(n, df) -> Column:
     return F.when(df > 0, F.log(_col(n).cast("double") / df)).otherwise(F.lit(0.0))
 
 
+def _log_choose(n: Column, k: Column) -> Column:
+    """ln of the binomial coefficient for 0 <= k <= n."""
+    few = F.least(k, n - k).cast("int")
+    steps = F.when(few > 0, F.sequence(F.lit(1), few)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.log((n - few + i) / i))
+
+
 def choose(n, k) -> Column:
-    """Binomial coefficient as a double."""
+    """Binomial coefficient as a double; 0 outside 0 <= k <= n, NULL for a NULL."""
     n, k = _col(n), _col(k)
-    small = F.least(k, n - k).cast("int")
-    steps = F.when(small > 0, F.sequence(F.lit(1), small)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.lit(1.0), lambda acc, i: acc * (n - small + i) / i)
+    few = F.least(k, n - k).cast("int")
+    steps = F.when(few > 0, F.sequence(F.lit(1), few)).otherwise(F.array().cast("array<int>"))
+    product = F.aggregate(steps, F.lit(1.0), lambda acc, i: acc * (n - few + i) / i)
+    return F.when(n.isNull() | k.isNull(), None).when((k < 0) | (k > n), 0.0).otherwise(product)
 
 
 def binomial_pmf(k, n, p) -> Column:
-    """Probability of k successes in n trials."""
+    """Probability of k successes in n trials, by a sum of logarithms and one exp."""
     k, n, p = _col(k), _col(n), p if isinstance(p, Column) else F.lit(float(p))
-    return choose(n, k) * F.pow(p, k) * F.pow(1 - p, n - k)
+    inside = F.exp(_log_choose(n, k) + k * F.log(p) + (n - k) * F.log(1 - p))
+    return (
+        F.when(n.isNull() | k.isNull() | p.isNull(), None)
+        .when((k < 0) | (k > n), 0.0)
+        .when(p <= 0, F.when(k == 0, 1.0).otherwise(0.0))
+        .when(p >= 1, F.when(k == n, 1.0).otherwise(0.0))
+        .otherwise(inside)
+    )
 
 
 def distance(a, b) -> Column:
-    """Euclidean distance of two equally long arrays."""
+    """Euclidean distance of two equally long arrays, for single rows (pairs: operators.neighbours)."""
     gaps = F.zip_with(_col(a), _col(b), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y))
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x))
 
