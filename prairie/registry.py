@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational")
+MODULES = ("scalars", "relational", "revenue", "vectors")
 
 
 def _gather(what: str) -> dict:
