@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prairie.operators.relational import with_scalar
 from prairie.session import forget, store
 
 
@@ -36,3 +37,69 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = mark
     roots = now.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def symmetric(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Each edge in both directions, without repeats."""
+    return edges.select(src, dst).union(edges.select(dst, src)).distinct()
+
+
+def out_degrees(edges: DataFrame, src: str = "src") -> DataFrame:
+    return edges.groupBy(src).agg(F.count("*").alias("degree"))
+
+
+def expand(edges: DataFrame, frontier: DataFrame, node: str = "node", src: str = "src", dst: str = "dst") -> DataFrame:
+    """Nodes one edge away from the frontier that are not in it."""
+    seen = frontier.select(F.col(node).alias(dst))
+    from_here = edges.join(frontier.select(F.col(node).alias(src)), src, "left_semi")
+    return from_here.select(dst).distinct().join(seen, dst, "left_anti").select(F.col(dst).alias(node))
+
+
+def rank_step(ranks: DataFrame, edges: DataFrame, n: int, damping: float) -> DataFrame:
+    """``node``, ``degree``, ``old``, ``rank`` after one round; ranks of nodes without out-edges go to all.
+
+    ``ranks`` has ``node``, ``degree`` (null: no out-edge), ``rank``.
+    """
+    given = edges.join(ranks.where("degree IS NOT NULL").select(F.col("node").alias("src"), (F.col("rank") / F.col("degree")).alias("part")), "src")
+    got = given.groupBy(F.col("dst").alias("node")).agg(F.sum("part").alias("got"))
+    sinks = ranks.where("degree IS NULL").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("lost"))
+    new = with_scalar(ranks.join(got, "node", "left"), sinks)
+    rank = (1 - damping) / n + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / n)
+    return new.select("node", "degree", F.col("rank").alias("old"), rank.alias("rank"))
+
+
+def change(ranks: DataFrame) -> float:
+    """L1 distance of the last two rounds."""
+    return ranks.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("old"))), F.lit(0.0))).first()[0]
+
+
+def start_ranks(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:
+    """Equal ranks, with the out-degree of each node, computed once."""
+    degrees = out_degrees(edges).withColumnRenamed("src", "node")
+    return nodes.join(degrees, "node", "left").select("node", "degree", F.lit(1.0 / n if n else 0.0).alias("rank"))
+
+
+def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 0.01) -> DataFrame:
+    """``node`` and ``rank``; rounds go on until the ranks change by ``tolerance`` at most in sum."""
+    spark = nodes.sparkSession
+    n = nodes.count()
+    now, path = store(start_ranks(nodes, edges, n), "ranks")
+    while n:
+        new, new_path = store(rank_step(now, edges, n, damping), "ranks")
+        forget(spark, path)
+        now, path = new, new_path
+        if change(now) <= tolerance:
+            break
+    return now.select("node", "rank")
+
+
+def all_components(nodes: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``node`` and ``root`` of every node; nodes without edges are components of their own."""
+    found = components(edges, src, dst)
+    return nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def components_between(found: DataFrame, low: int, high: int) -> DataFrame:
+    """The nodes of components of ``low`` to ``high`` nodes, with the size."""
+    sizes = found.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size").between(low, high))
+    return found.join(sizes, "root")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational", "revenue", "vectors")
+MODULES = ("scalars", "relational", "revenue", "vectors", "graph", "models")
 
 
 def _gather(what: str) -> dict:
