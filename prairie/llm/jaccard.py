@@ -4,7 +4,8 @@ Documents with equal sets are one class, joined by a digest of the set. Classes
 by the shingles of their prefixes, in an order that puts frequent shingles last. A pair must
 pass the length filter, the positional filter and the suffix filter (the rest of both sets
 is cut into ranges; the parities of the ranges' sizes bound the difference from below), is
-taken in the first bucket that both classes share, and is verified once, on the shingles.
+taken in the first bucket that both classes share, and is verified once, on the whole sets.
+64-bit hashes stand for shingles.
 
 What counts is which documents are connected. So first each class is verified against one
 hub, the class of its buckets that shares most; then only pairs between different
@@ -23,11 +24,9 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,49 +37,72 @@ from prairie.session import stored, table
 SHINGLE = 5
 PERCENT = 80
 FREQUENT = 1_000_000  # shingles above this share of all are ordered by their counts
-RANGES = 512  # of the suffix filter
+RANGES = 512  # of the suffix filter in a bucket; a power of two
 BLOCK = 256  # classes of a bucket that one side of a comparison holds
 MARKS = 1 << 20  # of the bitmap that says which classes need their texts
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_FOLD = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class Shingler:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
-    def __init__(self, width: int = SHINGLE, cached: int = 400_000):
-        self.width, self.cached, self.cache = width, cached, {}
 
-    def hashes(self, text: bytes | None) -> np.ndarray:
-        words = _words(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        cache = self.cache
-        for w in set(words).difference(cache):
-            cache[w] = xxhash.xxh3_64_intdigest(w)
-        each = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-        while len(cache) > self.cached:
-            cache.popitem()
-        width = min(self.width, len(each))
-        n = len(each) - width + 1
-        h = np.full(n, width, np.uint64)
-        for i in range(width):
-            h = (h ^ each[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique(h ^ (h >> np.uint64(32)))
+def _chained(each: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` words."""
+    n = len(each) - width + 1
+    h = np.full(max(n, 0), width, np.uint64)
+    for i in range(width if n > 0 else 0):
+        h = (h ^ each[i : i + n]) * _MIX
+        h ^= h >> np.uint64(29)
+    return _mixed(h)
 
 
-def exact(a: bytes | None, b: bytes | None, width: int, percent: int) -> bool:
-    """Whether two texts link, by the shingles themselves."""
-    sets = []
-    for words in (_words(a), _words(b)):
-        n = min(width, len(words))
-        sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set())
-    both = len(sets[0] & sets[1])
-    return bool(sets[0] and sets[1]) and 100 * both >= percent * (len(sets[0]) + len(sets[1]) - both)
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and where each text's words begin (and the end).
+
+    A word's hash is a sum over its bytes, weighed by their places, for all words at once.
+    """
+    raw = _FOLD[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+    inside = ~_BLANK[raw]
+    starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+    bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    first = np.searchsorted(starts, bounds)
+    if not len(starts):
+        return np.zeros(0, np.uint64), first
+    place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
+    place[~inside[starts[0] :]] = 0
+    powers = np.cumprod(np.full(int(place.max()) + 1, _MIX))
+    values = np.where(inside[starts[0] :], _BYTES[raw[starts[0] :]] * powers[place], np.uint64(0))
+    return _mixed(np.add.reduceat(values, starts - starts[0])), first
+
+
+def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text; some megabytes at a time."""
+    texts = [t or b"" for t in texts]
+    out: list[np.ndarray] = []
+    begin = 0
+    while begin < len(texts):
+        end, size = begin, 0
+        while end < len(texts) and (end == begin or size < 1 << 21):
+            size += len(texts[end])
+            end += 1
+        each, first = word_hashes(texts[begin:end])
+        whole = _chained(each, width)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            out.append(np.unique(whole[a : b - width + 1] if b - a >= width else _chained(each[a:b], b - a) if b > a else whole[:0]))
+        begin = end
+    return out
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return bool(len(a) and len(b)) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def needed(a, b, percent: int):
@@ -97,9 +119,25 @@ def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _parities(hashes: np.ndarray) -> bytes:
-    counts = np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=RANGES)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+def _parities(hashes: np.ndarray) -> np.ndarray:
+    """Bits that say which ranges hold an odd number of hashes; as many ranges as hashes, or more."""
+    ranges = max(RANGES, 1 << int(len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(ranges - 1)).astype(np.int64), minlength=ranges)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parities of fewer, wider ranges: ``size`` bytes."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def may_be_near(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
+    """The suffix filter: the parities that differ are no more than the shingles that may."""
+    size = min(len(a), len(b))
+    x, y = (_folded(np.frombuffer(c, np.uint8), size) for c in (a, b))
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= n + m - 2 * needed(n, m, percent)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -110,10 +148,8 @@ def digests(rows: DataFrame, width: int) -> DataFrame:
     """``_key``, ``class``, ``size``; and what the batch says about shingles in several texts."""
 
     def begin():
-        shingler = Shingler(width)
-
         def make(batch: pa.RecordBatch) -> dict[str, list]:
-            sets = [shingler.hashes(t) for t in _texts(batch)]
+            sets = shingle_sets(_texts(batch), width)
             found, times = np.unique(np.concatenate(sets), return_counts=True)
             some = times > 1
             n = len(sets)
@@ -143,18 +179,16 @@ def frequent(rows: DataFrame) -> np.ndarray:
 
 
 def entries(rows: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(hash, class, size, pos) of the prefixes, with the parities of the class."""
+    """``class``, ``size``, ``prefix`` and the parities, of few (``parities``) and of all ranges (``fine``)."""
     sent = rows.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_hash = np.sort(sent.value)
         place = np.argsort(sent.value)  # of the sorted hashes, in the order
-        shingler = Shingler(width)
         for batch in batches:
-            names, sizes, parities, parts = [], [], [], []
+            names, sizes, parities, fine, parts = [], [], [], [], []
             seen = set()
-            for text in _texts(batch):
-                hashes = shingler.hashes(text)
+            for hashes in shingle_sets(_texts(batch), width):
                 name = _digest(hashes)
                 if not len(hashes) or name in seen:
                     continue
@@ -166,22 +200,24 @@ def entries(rows: DataFrame, order: np.ndarray, width: int, percent: int) -> Dat
                 first = np.lexsort((hashes, rank))[: prefix_length(len(hashes), percent)]
                 names.append(name)
                 sizes.append(len(hashes))
-                parities.append(_parities(hashes))
+                bits = _parities(hashes)
+                parities.append(_folded(bits, RANGES // 8).tobytes())
+                fine.append(bits.tobytes())
                 parts.append(hashes[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), pa.array(parts, pa.list_(pa.int64()))],
-                ["class", "size", "parities", "prefix"],
+                [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), pa.array(fine, pa.binary()), pa.array(parts, pa.list_(pa.int64()))],
+                ["class", "size", "parities", "fine", "prefix"],
             )
 
-    return rows.select("_text").mapInArrow(run, "class binary, size int, parities binary, prefix array<long>")
+    return rows.select("_text").mapInArrow(run, "class binary, size int, parities binary, fine binary, prefix array<long>")
 
 
-def texts_of(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(class, text) of the classes that occur in ``pairs``, each once.
+def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(id, text) of the classes that occur in ``pairs``, each once.
 
     A bitmap of ``MARKS`` bits keeps most other texts out of the shuffle.
     """
-    wanted = pairs.select(F.col("x").alias("class")).union(pairs.select("y")).distinct()
+    wanted = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct().join(classes.select("id", "class"), "id")
     marks = wanted.select((F.crc32("class") % MARKS).cast("int").alias("m")).distinct().collect()  # at most MARKS
     bitmap = np.zeros(MARKS, bool)
     bitmap[[r.m for r in marks]] = True
@@ -189,32 +225,46 @@ def texts_of(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.unpackbits(sent.value)
-        shingler = Shingler(width)
         for batch in batches:
             found = {}
-            for text in _texts(batch):
-                name = _digest(shingler.hashes(text))
+            texts = _texts(batch)
+            for text, hashes in zip(texts, shingle_sets(texts, width)):
+                name = _digest(hashes)
                 if bitmap[zlib.crc32(name) % MARKS] and name not in found:
                     found[name] = text or b""
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["class", "text"])
 
     each = rows.select("_text").mapInArrow(run, "class binary, text binary")
-    return stored(each.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "texts")
+    return stored(each.join(wanted, "class").select("id", "text").dropDuplicates(["id"]), "texts")
+
 
+def still_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that pass the suffix filter over all ranges of their parities."""
+    side = lambda n: classes.select(F.col("id").alias(n), F.col("size").alias(f"size_{n}"), F.col("fine").alias(f"fine_{n}"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
 
-def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """The (x, y) pairs of classes that link."""
-    texts = texts_of(rows, pairs, width)
-    own = pairs.join(texts.select(F.col("class").alias("x"), F.col("text").alias("a")), "x").join(
-        texts.select(F.col("class").alias("y"), F.col("text").alias("b")), "y"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("fine_x", "fine_y", "size_x", "size_y")]
+            yield batch.select(["x", "y"]).filter(pa.array([may_be_near(*r, percent) for r in zip(*columns)], pa.bool_()))
+
+    return both.mapInArrow(run, "x long, y long")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The (x, y) pairs of classes that link, by their whole sets; few that do not get as far as that."""
+    pairs = stored(still_near(pairs, classes, percent), "pairs")
+    texts = texts_of(rows, pairs, classes, width)
+    own = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("a")), "x").join(
+        texts.select(F.col("id").alias("y"), F.col("text").alias("b")), "y"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            yield batch.select(["x", "y"]).filter(pa.array([exact(s, t, width, percent) for s, t in zip(a, b)], pa.bool_()))
+            sets = [shingle_sets(batch.column(c).to_pylist(), width) for c in "ab"]
+            yield batch.select(["x", "y"]).filter(pa.array([linked(s, t, percent) for s, t in zip(*sets)], pa.bool_()))
 
-    return own.select("x", "y", "a", "b").mapInArrow(run, "x binary, y binary")
+    return own.select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
 
 
 def _may_link(a: str, b: str, percent: int):
@@ -229,101 +279,116 @@ def hub_pairs(shared: DataFrame, percent: int) -> DataFrame:
 
     A bucket's hub is the class whose buckets hold most entries.
     """
-    weights = shared.groupBy("class").agg(F.sum("n").alias("weight"))
-    weighed = shared.join(weights, "class")
-    hubs = weighed.groupBy("hash").agg(F.max(F.struct("weight", "class", "size", "pos")).alias("hub"))
-    both = shared.join(hubs, "hash").where(F.col("class") != F.col("hub.class")).select(
-        F.col("class").alias("x"), F.col("size").alias("size_x"), F.col("pos").alias("pos_x"),
-        F.col("hub.class").alias("y"), F.col("hub.size").alias("size_y"), F.col("hub.pos").alias("pos_y"),
-    )
+    weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    weighed = shared.join(weights, "id")
+    hubs = weighed.groupBy("hash").agg(F.max(F.struct("weight", "id", "size", "pos")).alias("hub"))
+    both = shared.join(hubs, "hash").where(F.col("id") != F.col("hub.id")).select(
+        F.col("id").alias("x"), F.col("size").alias("size_x"), F.col("pos").alias("pos_x"),
+        F.col("hub.id").alias("y"), F.col("hub.size").alias("size_y"), F.col("hub.pos").alias("pos_y"),
+    )
     counted = both.where(_may_link("x", "y", percent)).groupBy("x", "y").agg(F.count("*").alias("n"))
     best = counted.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best"))
-    pairs = best.select(F.least("x", "best.y").alias("x"), F.greatest("x", "best.y").alias("y"))
-    return pairs.distinct()
+    return best.select(F.least("x", "best.y").alias("x"), F.greatest("x", "best.y").alias("y")).distinct()
+
+
+def _pairs_of(rows: pa.RecordBatch, percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of whole groups (rows sorted by hash, left, right) that pass all filters."""
+    column = lambda c: rows.column(c).to_numpy()
+    ids, size, pos, root, block = (column(c).astype(np.int64) for c in ("id", "size", "pos", "root", "block"))
+    group = _groups(rows)
+    mixed = column("left") != column("right")
+    bits = np.frombuffer(b"".join(rows.column("parities").to_pylist()), np.uint64).reshape(len(ids), -1)
+    before = rows.column("before")
+    xs, ys = [], []
+    at = np.arange(len(ids))
+    for step in range(1, len(ids)):  # each row with the row ``step`` further on in its group
+        at = at[: np.searchsorted(at, len(ids) - step)]
+        at = at[group[at] == group[at + step]]
+        if not len(at):
+            break
+        i, j = at, at + step
+        need = needed(size[i], size[j], percent)
+        fits = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+        fits &= (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need) & (~mixed[i] | (block[i] != block[j]))
+        i, j, need = i[fits], j[fits], need[fits]
+        close = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64) <= size[i] + size[j] - 2 * need
+        for a, b in zip(i[close].tolist(), j[close].tolist()):
+            if not set(before[a].as_py()) & set(before[b].as_py()):  # else an earlier bucket has the pair
+                xs.append(min(ids[a], ids[b]))
+                ys.append(max(ids[a], ids[b]))
+    return xs, ys
+
+
+def _groups(rows: pa.RecordBatch) -> np.ndarray:
+    """Numbers of the runs of equal (hash, left, right)."""
+    change = np.zeros(rows.num_rows, bool)
+    for c in ("hash", "left", "right"):
+        v = rows.column(c).to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return change.cumsum()
 
 
 def crossing_pairs(shared: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that pass all filters, each once."""
-    own = shared.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    own = own.select("hash", "class", "size", "pos", "n", F.coalesce("root", "class").alias("root"))
+    own = shared.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    own = own.select("hash", "id", "size", "pos", "n", F.coalesce("root", "id").alias("root"))
     live = own.groupBy("hash").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("hash")
     kept = own.join(live, "hash", "left_semi")
     # One row for each class: its entries in order, at most as many as its prefix has.
-    each = kept.groupBy("class", "size", "root").agg(F.sort_array(F.collect_list(F.struct("pos", "hash", "n"))).alias("all"))
-    each = each.join(classes.select("class", "parities"), "class")
-    spread = each.select("class", "size", "root", "parities", F.col("all.hash").alias("hashes"), F.posexplode("all").alias("i", "e")).select(
-        "class", "size", "root", "parities", F.slice("hashes", F.lit(1), F.col("i")).alias("before"),
+    each = kept.groupBy("id", "size", "root").agg(F.sort_array(F.collect_list(F.struct("pos", "hash", "n"))).alias("all"))
+    each = each.join(classes.select("id", "parities"), "id")
+    spread = each.select("id", "size", "root", "parities", F.col("all.hash").alias("hashes"), F.posexplode("all").alias("i", "e")).select(
+        "id", "size", "root", "parities", F.slice("hashes", F.lit(1), F.col("i")).alias("before"),
         F.col("e.hash").alias("hash"), F.col("e.pos").alias("pos"), F.ceil(F.col("e.n") / BLOCK).cast("int").alias("blocks"),
-    )
-    mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    )
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = spread.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     left, right = F.least("block", "other"), F.greatest("block", "other")
     dealt = placed.withColumn("left", left).withColumn("right", right).drop("other", "blocks")
 
-    def compare(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[dict]:
-            for batch in groups:
-                yield from batch.to_pylist()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # the group that the next batch may go on with
 
-        for _, group in groupby(rows(), key=lambda r: (r["hash"], r["left"], r["right"])):
-            members = list(group)
-            if len(members) < 2:
+        def found(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            x, y = _pairs_of(pa.concat_batches(rows), percent) if rows else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            size = np.array([m["size"] for m in members], np.int64)
-            pos = np.array([m["pos"] for m in members], np.int64)
-            block = np.array([m["block"] for m in members])
-            names = {r: i for i, r in enumerate({m["root"] for m in members})}
-            root = np.array([names[m["root"]] for m in members])
-            bits = np.frombuffer(b"".join(m["parities"] for m in members), np.uint64).reshape(len(members), -1)
-            before = [set(m["before"]) for m in members]
-            xs, ys = [], []
-            for i in range(len(members) - 1):
-                rest = slice(i + 1, None)
-                n, m = size[i], size[rest]
-                need = needed(n, m, percent)
-                fits = (root[rest] != root[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                fits &= np.minimum(n - pos[i], m - pos[rest]) >= need
-                if members[0]["left"] != members[0]["right"]:
-                    fits &= block[rest] != block[i]
-                at = np.flatnonzero(fits) + i + 1
-                if len(at):
-                    far = np.bitwise_count(bits[at] ^ bits[i]).sum(1)
-                    for j in at[far <= n + size[at] - 2 * needed(n, size[at], percent)]:
-                        if before[i].isdisjoint(before[j]):
-                            a, b = sorted((members[i]["class"], members[j]["class"]))
-                            xs.append(a)
-                            ys.append(b)
-            if xs:
-                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
+            whole = pa.concat_batches([*rest, batch])
+            group = _groups(whole)
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield found([whole.slice(0, cut)])
+            rest = [whole.slice(cut)]
+        yield found(rest)
 
     # A group has at most two blocks, of about BLOCK rows each.
-    return dealt.repartition("hash", "left", "right").sortWithinPartitions("hash", "left", "right").mapInArrow(compare, "x binary, y binary")
+    return dealt.repartition("hash", "left", "right").sortWithinPartitions("hash", "left", "right").mapInArrow(compare, "x long, y long")
 
 
-def links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Rows (``_key``, ``class``, ``size``), and ``node``, ``root`` of the classes that link."""
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (``_key``, ``class``, ``size``), classes (``class``, ``id``), and ``node``, ``root`` of ids that link."""
     rows = docs.select(docs[key].alias("_key"), F.coalesce(docs[text], F.lit("")).alias("_text"))
     members = stored(digests(rows, width), "members")
-    order = frequent(members)
-    classes = stored(entries(rows, order, width, percent), "classes")
-    each = classes.select("class", "size", F.posexplode("prefix").alias("pos", "hash"))
-    dealt = each.select("hash", "class", "size", "pos").distinct().repartition("hash")
-    counts = dealt.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(dealt.join(counts, "hash"), "shared")
-    once = classes.dropDuplicates(["class"])
-    first = stored(verified(stored(hub_pairs(shared, percent), "pairs"), rows, width, percent), "links")
+    once = entries(rows, frequent(members), width, percent).dropDuplicates(["class"])
+    classes = stored(once.withColumn("id", F.monotonically_increasing_id()), "classes")
+    each = classes.select("id", "size", F.posexplode("prefix").alias("pos", "hash"))
+    counts = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(each.join(counts, "hash").select("hash", "id", "size", "pos", "n"), "shared")
+    first = stored(verified(hub_pairs(shared, percent), rows, classes, width, percent), "links")
     roots = stored(components(first, "x", "y"), "roots")
-    more = stored(crossing_pairs(shared, once, roots, percent), "pairs")
-    second = verified(more, rows, width, percent)
+    second = verified(crossing_pairs(shared, classes, roots, percent), rows, classes, width, percent)
     stars = roots.where("node <> root").select(F.col("node").alias("x"), F.col("root").alias("y"))
-    return members.select("_key", "class", "size"), components(stars.union(second), "x", "y")
+    return members.select("_key", "class", "size"), classes.select("class", "id"), components(stars.union(second), "x", "y")
 
 
 def near(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` (the smallest key reachable) of every row."""
-    members, roots = links(docs, key, text, width, percent)
-    classes = members.where("size > 0").groupBy("class").agg(F.min("_key").alias("least"))
-    named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    members, classes, roots = links(docs, key, text, width, percent)
+    least = members.where("size > 0").groupBy("class").agg(F.min("_key").alias("least"))
+    named = least.join(classes, "class").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     found = named.join(least, "root").select("class", "component")
     return members.join(found, "class", "left").select(
