@@ -3,7 +3,8 @@
 The vocabulary file is a parameter. A byte-level BPE with the usual word pattern never joins
 text over a single blank or newline between two other characters, so a text is cut there and
 distinct pieces are encoded once and remembered, single words by the library's model alone; a
-part with other white space goes to the library as a whole. Tests hold the result against the library on the whole text.
+part with other white space goes to the library as a whole. Tests hold the result against the
+library on the whole text.
 """
 
 from __future__ import annotations
@@ -12,13 +13,12 @@ import gc
 import os
 import re
 from array import array
-from itertools import accumulate, filterfalse
 
 import numpy as np
 
 CACHED = 400_000  # pieces remembered in a worker
-GROUP_CHARS = 1 << 22  # texts are cut in groups of about this size
 _MARKS = ".,;:!?*&$%#"
+_LATIN = "\u0250"  # the first character after the Latin ones
 _SAFE_NEWLINE = re.compile(r"(?<=\S)(\n)(?=\S)")
 
 
@@ -35,6 +35,37 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Pieces(dict):
+    """Id bytes of pieces; a missing one is encoded, and remembered while there is room."""
+
+    def __init__(self, library):
+        super().__init__({"": b""})
+        self.code = "H" if library.get_vocab_size() <= 1 << 16 else "I"
+        self.ids = [array(self.code, [i]).tobytes() for i in range(library.get_vocab_size())]
+        self.table = _byte_characters()
+        self.library, self.tokenize = library, library.model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        head = piece.rstrip(_MARKS)
+        if max(piece) >= _LATIN:  # other scripts: what counts as a letter is left to the library
+            raw = self._whole(piece)
+        elif len(head) < len(piece) and head[-1:].isalpha() and len(head.split()) == 1:
+            # After a letter, a run of these marks is a word of its own.
+            raw = self[head] + self[piece[len(head) :]]
+        elif piece.isalpha() or piece[0] == " " and piece[1:].isalpha():  # one word of the pattern
+            ids = self.ids
+            raw = b"".join([ids[t.id] for t in self.tokenize(piece.encode().decode("latin-1").translate(self.table))])
+        else:
+            raw = self._whole(piece)
+        if len(self) < CACHED:
+            self[piece] = raw
+        return raw
+
+    def _whole(self, piece: str) -> bytes:
+        [found] = self.library.encode_batch_fast([piece], add_special_tokens=False)
+        return array(self.code, found.ids).tobytes()
+
+
 class Encoder:
     """``encode`` gives the ids of each text as bytes of ``dtype``, followed by those of ``end``."""
 
@@ -44,80 +75,30 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code = "H" if self.dtype == "<u2" else "I"
-        self.ids = [array(self.code, [i]).tobytes() for i in range(max(end + 1, self.library.get_vocab_size()))]
-        self.end = self.ids[end]
-        self.table = _byte_characters()
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache = _Pieces(self.library)
+        self.dtype = "<u2" if self.cache.code == "H" else "<u4"
+        self.end = array(self.cache.code, [end]).tobytes()
 
     @staticmethod
-    def pieces(text: str, odd: set[str]) -> list[str]:
-        """The text in pieces that are encoded alone; those with other white space also go to ``odd``."""
+    def pieces(text: str) -> list[str]:
+        """The text in pieces that can be encoded alone."""
         if "\1" not in text:
             if " ".join(text.split()) == text.replace("\n", " "):
                 return text.replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
             parts = _SAFE_NEWLINE.split(text)
             if len(parts) > 1:
-                return [piece for part in parts for piece in (["\n"] if part == "\n" else Encoder.pieces(part, odd))]
-        odd.add(text)
+                return [piece for part in parts for piece in (["\n"] if part == "\n" else Encoder.pieces(part))]
         return [text]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        ends = list(accumulate((len(t) for t in texts), initial=0))
-        first = 0
+        get, pieces, end = self.cache.__getitem__, self.pieces, self.end
         collecting = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
         try:
-            while first < len(texts):
-                last = first + 1
-                while last < len(texts) and ends[last + 1] - ends[first] <= GROUP_CHARS:
-                    last += 1
-                out += self._group(texts[first:last])
-                first = last
+            return [b"".join(map(get, pieces(t))) + end for t in texts]
         finally:
             if collecting:
                 gc.enable()
-        return out
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        odd: set[str] = set()
-        missing: set[str] = set()
-        cut = [self.pieces(t, odd) for t in texts]
-        for pieces in cut:
-            missing.update(filterfalse(self.cache.__contains__, pieces))
-        self._learn(missing, odd)
-        get = self.cache.__getitem__
-        out = [b"".join(map(get, pieces)) + self.end for pieces in cut]
-        while len(self.cache) > CACHED:
-            self.cache.popitem()  # the newest; frequent pieces came early
-        return out
-
-    def _learn(self, missing: set[str], odd: set[str]) -> None:
-        """Put the ids of ``missing`` pieces into the cache."""
-        cache, split = self.cache, []
-        words: dict[str, None] = {}
-        for piece in missing - odd:
-            # After a letter, a run of these marks is a word of its own.
-            head = piece.rstrip(_MARKS)
-            if head == piece or not head[-1:].isalpha():
-                words[piece] = None
-            else:
-                tail = piece[len(head) :]
-                split.append((piece, head, tail))
-                words[head] = words[tail] = None
-        rest = list(missing & odd)
-        tokenize, table, ids = self.library.model.tokenize, self.table, self.ids
-        for w in filterfalse(cache.__contains__, words):
-            if w.isalpha() or w[0] == " " and w[1:].isalpha():  # one word of the pattern: the model alone
-                cache[w] = b"".join([ids[t.id] for t in tokenize(w.encode().decode("latin-1").translate(table))])
-            else:
-                rest.append(w)
-        for piece, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-            cache[piece] = array(self.code, found.ids).tobytes()
-        for piece, head, tail in split:
-            cache[piece] = cache[head] + cache[tail]
 
 
 def numbers(raw: bytes, width: int) -> np.ndarray:
