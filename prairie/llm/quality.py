@@ -203,8 +203,12 @@ w AS (
   SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM d),
-g AS (SELECT r, unnest(range(1, len(ws) - 6)) AS p, ws FROM w WHERE len(ws) >= 8),
-h AS (SELECT r, p, count(*) OVER (PARTITION BY r, hash(list_slice(ws, p, p + 7))) AS n FROM g),
+x AS (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM w),
+g AS (
+  SELECT r, p, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' ||
+    lead(w, 4) OVER o || ' ' || lead(w, 5) OVER o || ' ' || lead(w, 6) OVER o || ' ' || lead(w, 7) OVER o AS v
+  FROM x WINDOW o AS (PARTITION BY r ORDER BY p)),
+h AS (SELECT r, p, count(*) OVER (PARTITION BY r, v) AS n FROM g WHERE v IS NOT NULL),
 c AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 8)) AS q FROM h WHERE n > 1) GROUP BY r),
 m AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words,
