@@ -36,7 +36,7 @@ from prairie.session import stored, table
 
 SHINGLE = 5
 PERCENT = 80
-FREQUENT = 1_000_000  # shingles above this share of all are ordered by their counts
+FREQUENT = 4_000_000  # shingles above this share of all are ordered by their counts; bounds what is broadcast (32 MB)
 RANGES = 512  # of the suffix filter in a bucket; a power of two
 BLOCK = 256  # classes of a bucket that one side of a comparison holds
 MARKS = 1 << 20  # of the bitmap that says which classes need their texts
@@ -174,8 +174,8 @@ def frequent(rows: DataFrame) -> np.ndarray:
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     each = rows.where(F.size("shingles") > 0).select(F.explode(F.arrays_zip("shingles", "times")).alias("s"))
     counts = each.groupBy(F.col("s.shingles").alias("h")).agg(F.sum("s.times").alias("n"))
-    some = counts.where(F.col("n") * FREQUENT >= total).orderBy("n", "h").collect()
-    return np.array([r.h for r in some], np.int64).view(np.uint64)
+    some = counts.where(F.col("n") * FREQUENT >= total).orderBy("n", "h").select("h").toArrow()
+    return some["h"].to_numpy().astype(np.int64).view(np.uint64)
 
 
 def entries(rows: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
