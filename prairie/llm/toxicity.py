@@ -101,6 +101,8 @@ class Model:
             for i in range(w):
                 for column in (0, 1):
                     total += tables[w][i][flat[i : n + i, column]]
+            # Windows that begin in a text's last places would reach into the next text.
+            total[(starts[1:, None] - np.arange(1, w)).ravel()] = -np.inf
             best = np.maximum.reduceat(total, starts, axis=0)
             answers.append(best + self.bias[w])
             if places:
@@ -114,7 +116,8 @@ class Model:
         return (pooled, at) if places else pooled
 
     def score(self, pooled: np.ndarray) -> np.ndarray:
-        z = np.maximum(pooled, 0) @ self.dense + self.offset
+        # Row by row: a matrix product may round one row differently in another batch.
+        z = (np.maximum(pooled, 0) * self.dense).sum(1) + self.offset
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 

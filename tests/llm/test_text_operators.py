@@ -372,3 +372,13 @@ def test_classifier_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.classify(docs, none).collect()} == {0.0}
     assert toxicity.classify(cases.nothing(spark), none).count() == 0
+
+
+def test_a_text_scores_the_same_alone_and_in_any_batch():
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(["bad", "worse", "good", "fine", "plain"], n)) for n in rng.integers(0, 9, 60)]
+    model = toxicity.fit(texts, [int("bad worse" in t) for t in texts])
+    tables, hasher = model.tables(), toxicity.Hasher(model.rows)
+    alone = np.concatenate([toxicity.score([t], model, hasher, tables) for t in texts])
+    for order in (np.arange(60), np.arange(60)[::-1], rng.permutation(60)):
+        assert (toxicity.score([texts[i] for i in order], model, hasher, tables) == alone[order]).all()
