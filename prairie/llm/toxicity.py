@@ -8,10 +8,12 @@ hashed word, only its answer to each row of each filter: a table that is made on
 The classifier is fitted in the driver on at most ``FIT_ROWS`` labelled rows (whole texts),
 half of them of either label as far as there are so many, chosen by a hash of the id.
 Labels come only from rows that are not held out. A threshold for each language
-is then calibrated on the fitted rows' scores; the score itself never sees a language.
+is then calibrated on the scores of all labelled rows that are not held out, whether fitted
+or not, from counts by language and bin of the score; the score itself never sees a language.
 
 Defined results: a null text is an empty one and scores as a text without words; several
-labels for one id count as the largest; null labels are left out; without labels of both
+labels for one id count as the largest; null labels are left out; a language without labels of
+both kinds takes the threshold of all rows (0.5 if those lack one, too); without labels of both
 kinds every score is the share of toxic labels (0 without any); repeated rows are scored
 each; other columns do no harm; an empty table gives no rows.
 """
@@ -24,12 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prairie.llm.batches import add_columns
 from prairie.llm.columns import held_out
-from prairie.session import table
+from prairie.session import stored, table
 
 FIT_ROWS = 4000
 BUCKETS = 1 << 22  # of the word hash; only buckets met while fitting have an embedding
@@ -41,6 +43,7 @@ FILTERS = 8  # of each width
 EPOCHS = 12
 LEAST_STEPS = 600  # small samples get more epochs
 BATCH = 64
+BINS = 1 << 16  # of scores, when thresholds are sought; a power of two, so that edges are exact
 CHECKED_PARTS, CHECKED_REST = 5, 0
 
 
@@ -195,21 +198,31 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     return model
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> dict[str, float]:
-    """For each language, the threshold with the best F1 on the fitted rows; "" is for all."""
-    out = {}
-    for lang in ["", *sorted({x for x in langs if x})]:
-        own = np.array([not lang or x == lang for x in langs])
-        s, y = scores[own], labels[own]
-        if not len(y) or y.min() == y.max():
-            continue
-        order = np.argsort(-s, kind="stable")
-        hits = y[order].cumsum()
-        f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-        best = int(f1.argmax())
-        low = s[order[best + 1]] if best + 1 < len(s) else 0.0
-        out[lang] = float((s[order[best]] + low) / 2)  # half way to the next score
-    return out
+def calibrate(scored: DataFrame, known: DataFrame) -> DataFrame:
+    """``_lang``, ``limit``: the threshold with the best F1 over all rows in ``known``; "" is for all.
+
+    Equal F1 takes the larger threshold, half way to the next bin with a score.
+    """
+    bins = (
+        scored.join(known, scored["_key"] == known["_id"])
+        .groupBy("_lang", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
+        .agg(F.sum("_y").alias("hits"), F.count("*").alias("n"))
+    )
+    bins = stored(bins, "bins")  # at most BINS + 1 rows a language
+    every = bins.groupBy("bin").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).select(F.lit("").alias("_lang"), "bin", "hits", "n")
+    down, whole = Window.partitionBy("_lang").orderBy(F.desc("bin")), Window.partitionBy("_lang")
+    each = bins.where("_lang <> ''").unionByName(every).select(
+        "_lang",
+        "bin",
+        F.sum("hits").over(down).alias("hit"),
+        F.sum("n").over(down).alias("taken"),
+        F.sum("hits").over(whole).alias("toxic"),
+        F.sum("n").over(whole).alias("total"),
+        F.lead("bin").over(down).alias("next"),
+    )
+    f1 = 2 * F.col("hit") / (F.col("taken") + F.col("toxic"))
+    best = each.where("toxic > 0 and toxic < total").groupBy("_lang").agg(F.max(F.struct(f1.alias("f1"), "bin", "next")).alias("b"))
+    return stored(best.select("_lang", ((F.col("b.bin") + F.coalesce(F.col("b.next") + 1, F.lit(0))) / (2.0 * BINS)).alias("limit")), "limits")
 
 
 def score(texts: list[str], model: Model, hasher: Hasher, tables) -> np.ndarray:
@@ -228,31 +241,34 @@ def score(texts: list[str], model: Model, hasher: Hasher, tables) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label: str, rows: int) -> list:
-    """At most ``rows`` labelled rows that are not held out, up to half of them toxic."""
+def labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """``_id``, ``_y`` of 0 or 1: one row for each labelled id that is not held out."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.max(label).alias("_y"))
-    known = known.where(~held_out(F.col("_id"), CHECKED_PARTS, CHECKED_REST))
+    return known.where(~held_out(F.col("_id"), CHECKED_PARTS, CHECKED_REST) & F.col("_y").isin(0, 1))
+
+
+def sample(docs: DataFrame, known: DataFrame, key: str, text: str, rows: int) -> list:
+    """At most ``rows`` of the labelled rows, up to half of them toxic."""
     picked = None
     for y in (0, 1):
         some = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(rows // 2)
         picked = some if picked is None else picked.unionByName(some)
-    texts = docs.select(docs[key].alias("_id"), F.coalesce(docs[text], F.lit("")).alias("_t"), docs[lang].alias("_l"))
+    texts = docs.select(docs[key].alias("_id"), F.coalesce(docs[text], F.lit("")).alias("_t"))
     # ``rows`` narrow rows at most: a bounded broadcast.
-    joined = texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(F.min(F.struct("_t", "_l", "_y")).alias("s"))
+    joined = texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(F.min(F.struct("_t", "_y")).alias("s"))
     return [r.s for r in joined.orderBy("_id").collect()]
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
     """``key``, ``held_out``, ``score``, ``predicted``, ``threshold`` and ``flagged``.
 
-    ``flagged`` compares the score with the language's threshold.
+    ``flagged`` compares the score with the language's threshold. Texts are scored once;
+    the scores are written, as thresholds need all of them.
     """
-    rows = sample(docs, labels, key, text, lang, label, fit_rows)
-    texts, y, langs = [r["_t"] for r in rows], [int(r["_y"]) for r in rows], [r["_l"] for r in rows]
-    model = fit(texts, y)
-    tables = model.tables()
-    limits = calibrate(score(texts, model, Hasher(model.rows), tables), np.array(y), langs) if texts else {}
-    sent = docs.sparkSession.sparkContext.broadcast((model, tables))
+    known = labelled(labels, key, label)
+    rows = sample(docs, known, key, text, fit_rows)
+    model = fit([r["_t"] for r in rows], [int(r["_y"]) for r in rows])
+    sent = docs.sparkSession.sparkContext.broadcast((model, model.tables()))
 
     def begin():
         model, tables = sent.value
@@ -266,11 +282,11 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     scored = add_columns(
         docs.select(docs[key].alias("_key"), docs[text].alias("_text"), docs[lang].alias("_lang")), "score double", begin, drop=("_text",)
     )
-    limit = F.lit(limits.get("", 0.5))
-    for name, value in limits.items():
-        if name:
-            limit = F.when(F.col("_lang") == name, F.lit(value)).otherwise(limit)
-    return scored.select(
+    scored = stored(scored, "scores")
+    limits = calibrate(scored, known)
+    general = limits.where("_lang = ''").first()
+    limit = F.coalesce("limit", F.lit(general.limit if general else 0.5))
+    return scored.join(limits.where("_lang <> ''"), "_lang", "left").select(
         F.col("_key").alias(key),
         held_out(F.col("_key"), CHECKED_PARTS, CHECKED_REST).alias("held_out"),
         "score",

@@ -382,3 +382,27 @@ def test_a_text_scores_the_same_alone_and_in_any_batch():
     alone = np.concatenate([toxicity.score([t], model, hasher, tables) for t in texts])
     for order in (np.arange(60), np.arange(60)[::-1], rng.permutation(60)):
         assert (toxicity.score([texts[i] for i in order], model, hasher, tables) == alone[order]).all()
+
+
+def test_thresholds_cover_all_labelled_rows(spark):
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 9 < (1 if i < 800 else 4)
+        marks = ["bad"] * int(rng.integers(0, 4) + 2 * toxic) + ["good"] * int(rng.integers(0, 4))
+        rows.append((i, " ".join(rng.permutation(marks + ["plain"] * 3)), "en" if i < 500 else "fr" if i < 890 else "xx"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = toxicity.classify(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), fit_rows=24).collect()
+    y, lang = dict(labels), {r[0]: r[2] for r in rows}
+
+    def f1(picked, own):
+        hits = sum(y[r.doc_id] for r in picked)
+        return 2 * hits / max(1, len(picked) + sum(y[r.doc_id] for r in own))
+
+    for name in ("en", "fr", "xx"):
+        own = [r for r in got if lang[r.doc_id] == name and not r.held_out]
+        assert len({r.threshold for r in own}) == 1 and 0 < sum(y[r.doc_id] for r in own) < len(own)
+        edges = {int(r.score * toxicity.BINS) / toxicity.BINS for r in own}
+        best = max(f1([r for r in own if r.score >= e], own) for e in edges)
+        assert f1([r for r in own if r.flagged], own) == best
