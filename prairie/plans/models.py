@@ -15,14 +15,11 @@ from prairie.plans import vectors as pv
 from prairie.session import stored
 from prairie.session import table as T
 
-ROUNDS = 20  # of training, in these queries
-FEATURES = 500  # words that have a weight
-
 
 def features(s, d):
     """Scaled TF-IDF vectors of all documents, labelled by their language."""
     docs = T(s, d, "documents")
-    vocab = v.vocabulary(v.word_count(docs, words_ascii("text")), FEATURES)
+    vocab = stored(v.vocabulary(v.word_count(docs, words_ascii("text"))), "vocabulary")
     long = stored(v.indexed(docs, "doc_id", words_ascii("text"), vocab), "counts")
     n = docs.count()
     raw = v.tfidf_raw(long, "doc_id", v.document_frequency(long), n)
@@ -33,7 +30,7 @@ def features(s, d):
 
 def trained(s, d):
     rows, vocab = features(s, d)
-    return rows, vocab, m.weight_table(s, m.train_logistic(rows, FEATURES, ROUNDS))
+    return rows, vocab, m.weight_table(s, m.train_logistic(rows, vocab.count()))
 
 
 def scores(s, d):
