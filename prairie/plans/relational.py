@@ -156,10 +156,19 @@ def u4(spark, d):
     return ops.divide(_bought(spark, d), "o_custkey", "p_brand", T(spark, d, "part").select("p_brand"), mode="difference")
 
 
-def u5(spark, d):
-    """Customers for whom every brand of size 50 or less was bought: all if there is no brand."""
+def _bought_every_brand(spark, d, sizes):
     everybody = T(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    return ops.divide(_bought(spark, d), "o_custkey", "p_brand", T(spark, d, "part").where("p_size < 0").select("p_brand"), everybody)
+    return ops.divide(_bought(spark, d), "o_custkey", "p_brand", T(spark, d, "part").where(sizes).select("p_brand"), everybody)
+
+
+def u5(spark, d):
+    """Customers for whom every brand of a negative size was bought: all, as there is no such brand."""
+    return _bought_every_brand(spark, d, "p_size < 0")
+
+
+def u5_brands(spark, d):
+    """Customers for whom every brand of size 50 or less was bought."""
+    return _bought_every_brand(spark, d, "p_size <= 50")
 
 
 def u6(spark, d):
@@ -219,6 +228,7 @@ QUERIES = {
     "j5_left_join": j5, "j6_cross_one_row": j6, "j8_nested_exists": j8, "j9_not_exists": j9, "j11_not_in": j11,
     "j11_not_in_null": j11_null, "j12_disjoint": j12, "j13_correlated_sum": j13, "j14_scalar_subquery": j14,
     "j15_in_grouped": j15, "u1_intersect": u1, "u2_except": u2, "u4_division_difference": u4, "u5_division_forall": u5,
+    "u5_division_forall_brands": u5_brands,
     "u6_division_count": u6, "u7_jaccard_best": u7, "g1_count": g1, "g2_having_distinct": g2, "g3_two_distincts": g3,
     "g4_min_then_max": g4, "g5_month_fraction": g5, "g21_distinct": g21, "w1_top_with_ties": w1, "o8_multi_key_order": o8,
 }
@@ -247,6 +257,7 @@ SQL = {
     "u2_except": "SELECT p_partkey AS key FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45",
     "u4_division_difference": f"WITH b AS (SELECT DISTINCT o_custkey, p_brand FROM {_BOUGHT}) SELECT o_custkey FROM b EXCEPT SELECT o_custkey FROM (SELECT c.o_custkey, p.p_brand FROM (SELECT DISTINCT o_custkey FROM b) c, (SELECT DISTINCT p_brand FROM part) p EXCEPT SELECT o_custkey, p_brand FROM b)",
     "u5_division_forall": f"SELECT c_custkey AS o_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p_size < 0 AND p.p_brand NOT IN (SELECT b.p_brand FROM {_BOUGHT} b WHERE b.o_custkey = c_custkey))",
+    "u5_division_forall_brands": f"SELECT c_custkey AS o_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p_size <= 50 AND p.p_brand NOT IN (SELECT b.p_brand FROM {_BOUGHT} b WHERE b.o_custkey = c_custkey))",
     "u6_division_count": f"WITH f AS (SELECT o_custkey, p_brand, min(o_orderdate) AS day FROM {_BOUGHT} GROUP BY 1, 2) SELECT o_custkey, max(day) AS completed FROM f GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT p_brand) FROM part)",
     "u7_jaccard_best": f"WITH b AS (SELECT DISTINCT o_custkey, p_brand FROM {_BOUGHT}), m AS (SELECT p_brand FROM b WHERE o_custkey = 7), j AS (SELECT o_custkey, count(*) FILTER (WHERE p_brand IN (SELECT p_brand FROM m)) AS s, count(*) AS n FROM b WHERE o_custkey <> 7 GROUP BY 1), r AS (SELECT o_custkey, s::DOUBLE / (n + (SELECT count(*) FROM m) - s) AS similarity FROM j) SELECT * FROM r WHERE similarity = (SELECT max(similarity) FROM r)",
     "g1_count": "SELECT count(*) AS n FROM lineitem",

@@ -331,3 +331,18 @@ def test_regression_queries_train_on_all_words_until_the_stop_rule(spark, tmp_pa
     assert len(words) > 500 and rounds > 20
     got = {r.idx: r.w for r in plans.QUERIES["c8_logistic_weights"](spark, str(tmp_path)).collect()}
     assert got == pytest.approx(dict(enumerate(w)), abs=1e-8)
+
+
+def test_forall_query_divides_by_brands(spark, sf_dir):
+    from prairie.plans import relational as plans
+
+    read = lambda name, *columns: [tuple(r) for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns).collect()]
+    brand, owner = dict(read("part", "p_partkey", "p_brand")), dict(read("orders", "o_orderkey", "o_custkey"))
+    wanted = {b for _, b, size in read("part", "p_partkey", "p_brand", "p_size") if size <= 50}
+    bought: dict = {}
+    for order, part in read("lineitem", "l_orderkey", "l_partkey"):
+        if order in owner and part in brand:
+            bought.setdefault(owner[order], set()).add(brand[part])
+    everybody = {c for c, in read("customer", "c_custkey")}
+    got = sorted(r.o_custkey for r in plans.QUERIES["u5_division_forall_brands"](spark, sf_dir).collect())
+    assert wanted and got == sorted(c for c in everybody if wanted <= bought.get(c, set())) and len(got) < len(everybody)
