@@ -28,3 +28,8 @@ def ascii_lower(text: Column) -> Column:
 def held_out(doc_id: Column, parts: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves ``rest``; False for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == rest, F.lit(False))
+
+
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")

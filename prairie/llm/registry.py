@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "chat", "hmm", "packing", "lines", "decontaminate", "jaccard", "toxicity", "binary", "quality")
+MODULES = (
+    "secrets", "chat", "hmm", "packing", "lines", "decontaminate", "jaccard", "toxicity", "binary", "quality",
+    "search", "simhash",
+)
 
 
 def _gather(what: str) -> dict:
