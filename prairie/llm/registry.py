@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = (
     "secrets", "chat", "hmm", "packing", "lines", "decontaminate", "jaccard", "toxicity", "binary", "quality",
-    "search", "simhash",
+    "trie", "search", "simhash",
 )
 
 
