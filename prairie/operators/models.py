@@ -6,66 +6,120 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prairie.functions.scalars import binomial_pmf
+from prairie.session import forget, store, stored
 
+ENTRIES = 1 << 18  # of a block of sparse rows
+RANGE = 2048  # indices of which a gradient's sums travel together
 THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row number, index and value of all entries of a batch."""
-    lists = batch.column("entries")
-    inner = lists.flatten()
-    sizes = np.diff(lists.offsets.to_numpy())
-    return np.repeat(np.arange(len(sizes)), sizes), inner.field("idx").to_numpy(), inner.field("v").to_numpy()
+def packed(vectors: DataFrame) -> DataFrame:
+    """Labelled sparse rows in blocks of about ``ENTRIES`` entries, one block a row, as plain arrays.
 
+    ``vectors`` has ``label`` and ``entries``; rows without a label are left out. A block has
+    ``labels`` (doubles), ``sizes`` (entries of each row, int32), ``idx`` (int32) and ``v`` (doubles).
+    """
 
-def gradient(vectors: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``idx``, ``total``: sums of (p - y) v over all rows; ``idx`` -1 has the sum of the loss, -2 the rows.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], [], []]
+
+        def block() -> pa.RecordBatch:
+            made = [pa.array([np.concatenate(c).astype(t).tobytes()], pa.binary()) for c, t in zip(held, ("<f8", "<i4", "<i4", "<f8"))]
+            for c in held:
+                c.clear()
+            return pa.RecordBatch.from_arrays(made, ["labels", "sizes", "idx", "v"])
 
-    ``vectors`` has ``label`` and ``entries``. One narrow pass; each task sends one row an index.
+        for batch in batches:
+            lists = batch.column("entries")
+            inner = lists.flatten()
+            parts = [batch.column("label"), pc.list_value_length(lists), inner.field("idx"), inner.field("v")]
+            labels, sizes, idx, v = (c.to_numpy(zero_copy_only=False) for c in parts)
+            ends = sizes.cumsum()
+            first = 0
+            while first < len(sizes):
+                start = int(ends[first - 1]) if first else 0
+                room = ENTRIES - sum(map(len, held[2]))
+                last = max(int(np.searchsorted(ends, start + room, side="right")), first + (room >= ENTRIES))
+                last = min(last, first + ENTRIES - sum(map(len, held[1])))  # rows without entries count too
+                if last > first:
+                    end = int(ends[last - 1])
+                    for c, part in zip(held, (labels[first:last], sizes[first:last], idx[start:end], v[start:end])):
+                        c.append(part)
+                    first = last
+                if first < len(sizes):
+                    yield block()
+        if held[0]:
+            yield block()
+
+    return vectors.where("label IS NOT NULL").select("label", "entries").mapInArrow(run, "labels binary, sizes binary, idx binary, v binary")
+
+
+def gradient_parts(blocks: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``part`` and ``sums`` (doubles): sums of (p - y) v over all rows of :func:`packed` blocks.
+
+    A part has the sums of ``RANGE`` indices, part -1 the number of rows and the sum of the loss.
+    A task sends one row for each part it touches, and the parts are added up each by itself.
     """
-    sent = vectors.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = sent.value
-        total, loss, rows = np.zeros(len(w)), 0.0, 0
+        w = np.append(weights, np.zeros(-len(weights) % RANGE))
+        total, rows, loss = np.zeros(len(w)), 0, 0.0
         for batch in batches:
-            row, idx, v = _flat(batch)
-            y = batch.column("label").to_numpy().astype(float)
-            z = np.bincount(row, w[idx] * v, batch.num_rows)
-            loss += float((np.logaddexp(0, z) - y * z).sum())
-            p = 0.5 * (1 + np.tanh(z / 2))
-            total += np.bincount(idx, (p - y)[row] * v, len(w))
-            rows += batch.num_rows
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-2, -1, *at.tolist()], pa.int64()), pa.array([float(rows), loss, *total[at].tolist()], pa.float64())], ["idx", "total"]
-        )
+            for block in zip(*(batch.column(c).to_pylist() for c in ("labels", "sizes", "idx", "v"))):
+                y, sizes, idx, v = (np.frombuffer(b, t) for b, t in zip(block, ("<f8", "<i4", "<i4", "<f8")))
+                row = np.repeat(np.arange(len(y)), sizes)
+                z = np.bincount(row, w[idx] * v, len(y))
+                loss += float((np.logaddexp(0, z) - y * z).sum())
+                rows += len(y)
+                total += np.bincount(idx, (0.5 * (1 + np.tanh(z / 2)) - y)[row] * v, len(w))
+        parts = total.reshape(-1, RANGE)
+        some = np.flatnonzero(parts.any(1))
+        sums = [np.array([rows, loss]).tobytes(), *(parts[i].tobytes() for i in some)]
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int32()), pa.array(sums, pa.binary())], ["part", "sums"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, "<f8") for b in parts["sums"].to_pylist())
+        return pa.table({"part": parts["part"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    return blocks.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary")
+
+
+def _gathered(parts: DataFrame, size: int) -> tuple[np.ndarray, float, float]:
+    """Sums, number of rows and loss; ``size`` numbers come to the driver."""
+    g, n, loss = np.zeros(size + RANGE), 0.0, 0.0
+    for part, sums in parts.collect():
+        values = np.frombuffer(sums, "<f8")
+        if part < 0:
+            n, loss = values
+        else:
+            g[part * RANGE : part * RANGE + len(values)] = values
+    return g[:size], float(n), float(loss)
+
 
-    return vectors.select("label", "entries").mapInArrow(run, "idx long, total double").groupBy("idx").agg(F.sum("total").alias("total"))
+def gradient(vectors: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``idx``, ``total``: sums of (p - y) v over all rows; ``idx`` -1 has the sum of the loss, -2 the rows."""
+    g, n, loss = _gathered(gradient_parts(packed(vectors), weights), len(weights))
+    at = np.flatnonzero(g)
+    return vectors.sparkSession.createDataFrame([(-2, n), (-1, loss), *zip(at.tolist(), g[at].tolist())], "idx long, total double")
 
 
 def train_logistic(vectors: DataFrame, size: int, rounds: int = 200, rate: float = 0.003, penalty: float = 0.01, tolerance: float = 1e-4) -> np.ndarray:
-    """Weights by gradient descent from zero, without intercept.
+    """Weights by gradient descent from zero, without intercept; rows without a label are left out.
 
     Loss: mean of ln(1 + exp z) - y z, plus half the penalty times the squared weights. From the
     second round on the rate grows by a twentieth if the loss fell and is halved if not; a
     worse step is not undone; training ends when the loss changes by less than ``tolerance``,
-    before the weights are changed again.
+    before the weights are changed again. The rows are packed once, and each round reads the blocks.
     """
+    blocks, path = store(packed(vectors), "blocks")
     w, last = np.zeros(size), None
     for _ in range(rounds):
-        g, loss, n = np.zeros(size), 0.0, 0.0
-        for r in gradient(vectors, w).collect():  # ``size`` + 2 rows at most
-            if r.idx >= 0:
-                g[r.idx] = r.total
-            elif r.idx == -1:
-                loss = r.total
-            else:
-                n = r.total
+        g, n, loss = _gathered(gradient_parts(blocks, w), size)
         loss = loss / max(n, 1) + 0.5 * penalty * float(w @ w)
         if last is not None:
             rate *= 1.05 if loss < last else 0.5
@@ -73,6 +127,7 @@ def train_logistic(vectors: DataFrame, size: int, rounds: int = 200, rate: float
                 break
         last = loss
         w = w - rate * (g / max(n, 1) + penalty * w)
+    forget(vectors.sparkSession, path)
     return w
 
 
@@ -170,8 +225,6 @@ def mixture_sums(histogram: DataFrame, a: float, b: float) -> DataFrame:
 
 def binomial_em(trials: DataFrame, heads: str, flips: str, a: float = 0.79, b: float = 0.51, rounds: int = 20) -> list[tuple[float, float]]:
     """The two coins' probabilities after each round, equal weights; each round reads the histogram only."""
-    from prairie.session import stored
-
     histogram = stored(trials.groupBy(F.col(heads).alias("heads"), F.col(flips).alias("flips")).agg(F.count("*").alias("n")), "histogram")
     out = []
     for _ in range(rounds):

@@ -6,9 +6,15 @@ The vocabulary size is a parameter and bounds what is sent to the tasks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prairie.functions.text import run_lengths
+from prairie.operators.ranking import numbered
+from prairie.session import stored
+
 SIZE = 20_000
 
 
@@ -17,11 +23,19 @@ def word_count(docs: DataFrame, words: Column) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, size: int = SIZE) -> DataFrame:
-    """``word``, ``n``, ``idx`` from 0 of the ``size`` most frequent words (ties by word)."""
+    """``word``, ``n``, ``idx`` from 0 of the ``size`` most frequent words (ties by word).
+
+    The window sees ``size`` rows; :func:`all_ranks` numbers every word.
+    """
     top = counts.orderBy(F.desc("n"), "word").limit(size)
     return top.withColumn("idx", (F.row_number().over(Window.orderBy(F.desc("n"), "word")) - 1).cast("long"))
 
 
+def all_ranks(counts: DataFrame) -> DataFrame:
+    """``word``, ``n`` and ``idx`` from 0 of all words, the most frequent first (ties by word)."""
+    return numbered(counts, F.desc("n"), "word")
+
+
 def word_ranks(vocab: DataFrame, words: list[str]) -> DataFrame:
     """The index of each given word, -1 if it has none."""
     spark = vocab.sparkSession
@@ -34,13 +48,48 @@ def indexed(docs: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataF
 
     Words are counted inside the row first, so that one row per distinct word is joined.
     """
-    from prairie.functions.text import run_lengths
+    return indexed_bags(docs.select(key, run_lengths(words).alias("bag")), key, vocab)
+
 
-    each = docs.select(key, F.explode(run_lengths(words)).alias("w")).select(key, F.col("w.word").alias("word"), F.col("w.cnt").alias("cnt"))
+def indexed_bags(bags: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
+    """:func:`indexed` of words that are counted already."""
+    each = bags.select(key, F.explode("bag").alias("w")).select(key, F.col("w.word").alias("word"), F.col("w.cnt").alias("cnt"))
     # The vocabulary has ``size`` rows at most.
     return each.join(F.broadcast(vocab.select("word", "idx")), "word").select(key, "idx", "cnt")
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Documents over their own vocabulary; all tables are written, the texts were read once."""
+
+    key: str
+    bags: DataFrame  # key, bag: array<struct<word, cnt>>, and what was to be kept
+    vocab: DataFrame  # word, n, idx
+    long: DataFrame  # key, idx, cnt
+    n: int  # documents
+
+    def frequency(self) -> DataFrame:
+        return document_frequency(self.long)
+
+    def tfidf_norm(self) -> DataFrame:
+        return tfidf_norm(self.long, self.key, self.frequency(), self.n)
+
+    def tfidf_raw(self) -> DataFrame:
+        return tfidf_raw(self.long, self.key, self.frequency(), self.n)
+
+
+def corpus(docs: DataFrame, key: str, words: Column, size: int = SIZE, keep: tuple[str, ...] = ()) -> Corpus:
+    """Word counts of ``docs`` over their ``size`` most frequent words; a null text has no words.
+
+    ``keep`` names columns that stay beside the bags.
+    """
+    none = F.array().cast("array<struct<word:string,cnt:bigint>>")
+    bags = stored(docs.select(key, *keep, F.coalesce(run_lengths(words), none).alias("bag")), "bags")
+    each = bags.select(F.explode("bag").alias("w")).select("w.word", "w.cnt")
+    vocab = stored(vocabulary(each.groupBy("word").agg(F.sum("cnt").alias("n")), size), "vocabulary")
+    return Corpus(key, bags, vocab, stored(indexed_bags(bags, key, vocab), "counts"), bags.count())
+
+
 def document_frequency(long: DataFrame) -> DataFrame:
     """Documents that hold each index; ``long`` has an index once per document."""
     return long.groupBy("idx").agg(F.count("*").alias("df"))

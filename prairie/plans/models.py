@@ -7,56 +7,81 @@ from pyspark.sql import functions as F
 
 from prairie.functions.scalars import prefix_label, sigmoid, snippet
 from prairie.functions.text import words_ascii
+from prairie.operators import features
 from prairie.operators import models as m
 from prairie.operators import neighbours as nb
 from prairie.operators import ranking
 from prairie.operators import vectors as v
 from prairie.plans import vectors as pv
-from prairie.session import stored
+from prairie.session import fresh_path, stored
 from prairie.session import table as T
 
 
-def features(s, d):
-    """Scaled TF-IDF vectors of all documents, labelled by their language."""
-    docs = T(s, d, "documents")
-    vocab = stored(v.vocabulary(v.word_count(docs, words_ascii("text"))), "vocabulary")
-    long = stored(v.indexed(docs, "doc_id", words_ascii("text"), vocab), "counts")
-    n = docs.count()
-    raw = v.tfidf_raw(long, "doc_id", v.document_frequency(long), n)
-    rows = v.gathered(v.standardised(raw, "doc_id", v.moments(raw, n)), docs, "doc_id")
-    labels = docs.select("doc_id", prefix_label("lang", "fr").alias("label"))
-    return stored(rows.join(labels, "doc_id"), "features"), vocab
+def labelled(s, d):
+    """Documents with a label of their quality."""
+    labels = T(s, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    return T(s, d, "documents").select("doc_id", "text").join(labels, "doc_id")
 
 
-def trained(s, d):
-    rows, vocab = features(s, d)
-    return rows, vocab, m.weight_table(s, m.train_logistic(rows, vocab.count()))
+def training(s, d):
+    return labelled(s, d).where("doc_id % 5 <> 0")
+
+
+def unseen(s, d):
+    """A fifth of the labelled documents, which no model is fitted on."""
+    return labelled(s, d).where("doc_id % 5 = 0")
+
+
+def fitted(s, d):
+    """The quality model of the training documents, with the operators' defaults."""
+    return features.fit(training(s, d), "doc_id", words_ascii("text"), fresh_path(s, "model"))
+
+
+_MODELS: dict[tuple[str, str], features.TextModel] = {}
+
+
+def model(s, d):
+    """The written model of this folder; queries of one session that only use it share it."""
+    place = (s.sparkContext.applicationId, d)
+    if place not in _MODELS:
+        _MODELS[place] = fitted(s, d)
+    return _MODELS[place]
 
 
 def scores(s, d):
-    rows, _, weights = trained(s, d)
-    return m.scored(rows, "doc_id", weights)
+    """The documents that the model has not seen, scored."""
+    return model(s, d).scored(unseen(s, d), "doc_id", words_ascii("text"))
 
 
 def coefficients(s, d):
     """The twenty words with the largest weights, stop words left out."""
-    _, vocab, weights = trained(s, d)
-    words = vocab.where(~F.col("word").isin(*pv.STOP_WORDS)).join(weights, "idx").where("w > 0")
+    m_ = model(s, d)
+    words = m_.vocab.where(~F.col("word").isin(*pv.STOP_WORDS)).join(m_.weights, "idx").where("w > 0")
     return ranking.top_k(words, 20, "w", "idx").select("idx", "word", F.round("w", 6).alias("w"))
 
 
 def false_positives(s, d):
-    """The first three documents that are scored as positive and are not, with a snippet."""
+    """The first three unseen documents that are scored as positive and are not, with a snippet."""
     bad = scores(s, d).where("label = 0 AND p >= 0.5").orderBy("doc_id").limit(3)
     texts = T(s, d, "documents").select("doc_id", snippet("text").alias("snippet"))
     return texts.join(F.broadcast(bad), "doc_id").select("doc_id", F.round("p", 6).alias("p"), "snippet")
 
 
+def _language_rows(s, d, c):
+    """Count vectors of all documents, labelled by their language."""
+    docs = T(s, d, "documents").select("doc_id", prefix_label("lang", "fr").alias("label"))
+    return v.gathered(c.long, c.bags, "doc_id", "cnt").join(docs, "doc_id")
+
+
 def gradient(s, d):
     """Gradient and loss at zero weights: one fold over all rows."""
-    docs = T(s, d, "documents").select("doc_id", prefix_label("lang", "fr").alias("label"))
-    rows = v.gathered(pv._long(s, d), docs, "doc_id", "cnt").join(docs, "doc_id")
-    return m.gradient(rows, np.zeros(pv.SIZE)).select("idx", F.round("total", 6).alias("total"))
+    return m.gradient(_language_rows(s, d, pv._corpus(s, d)), np.zeros(pv.SIZE)).select("idx", F.round("total", 6).alias("total"))
+
+
+def weighted(s, d):
+    """Each document's counts times one over the rank of the word."""
+    c = pv._corpus(s, d)
+    return m.scored(_language_rows(s, d, c), "doc_id", c.vocab.select("idx", (1 / (F.col("idx") + 1)).alias("w"))).select("doc_id", F.round("z", 6).alias("z"))
 
 
 def part_scores(s, d):
@@ -65,21 +90,11 @@ def part_scores(s, d):
     return T(s, d, "part").select("p_partkey", (F.col("p_type") == "PROMO").cast("int").alias("label"), F.round(p, 9).alias("p"))
 
 
-def weighted(s, d):
-    """Each document's counts times one over the rank of the word."""
-    docs = T(s, d, "documents").select("doc_id", F.lit(0).alias("label"))
-    rows = v.gathered(pv._long(s, d), docs, "doc_id", "cnt").join(docs, "doc_id")
-    weights = pv._vocab(s, d).select("idx", (1 / (F.col("idx") + 1)).alias("w"))
-    return m.scored(rows, "doc_id", weights).select("doc_id", F.round("z", 6).alias("z"))
-
-
 def neighbours(s, d, k=5):
     """The k documents nearest to each benchmark text; every item is a query."""
-    norm = stored(pv._norm(s, d), "tfidf")
-    corpus = stored(v.gathered(norm, T(s, d, "documents"), "doc_id"), "corpus")
-    items = T(s, d, "benchmark")
-    long = v.indexed(items, "item_id", words_ascii("text"), pv._vocab(s, d))
-    asked = v.gathered(v.tfidf_norm(long, "item_id", pv._df(s, d), pv._n(s, d)), items, "item_id")
+    c = pv._corpus(s, d)
+    corpus = stored(v.gathered(c.tfidf_norm(), c.bags, "doc_id"), "corpus")
+    asked = v.gathered(pv.item_vectors(s, d, c), T(s, d, "benchmark"), "item_id")
     queries = [(r.item_id, {e.idx: e.v for e in r.entries}) for r in asked.collect()]  # the stated query set
     return nb.nearest(corpus, "doc_id", queries, pv.SIZE, k)
 
@@ -125,7 +140,7 @@ def mixture_sums(s, d):
 
 
 QUERIES = {
-    "c8_logistic_weights": lambda s, d: trained(s, d)[2].select("idx", F.round("w", 9).alias("w")),
+    "c8_logistic_weights": lambda s, d: fitted(s, d).weights.select("idx", F.round("w", 9).alias("w")),
     "c9_logistic_scores": lambda s, d: scores(s, d).select("doc_id", "label", F.round("p", 6).alias("p")),
     "c10_logistic_sweep": lambda s, d: m.rates(m.confusion(scores(s, d))),
     "o7_top_coefficients": coefficients,

@@ -299,40 +299,6 @@ def test_line_conditionals(spark):
     assert models.line_mse(df, "x", "y", 19.0, 40.0).first().mse == pytest.approx(((40 + 19 * x - y) ** 2).mean())
 
 
-def test_regression_queries_train_on_all_words_until_the_stop_rule(spark, tmp_path):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-
-    from prairie.plans import models as plans
-
-    rng = np.random.default_rng(9)
-    names = np.array([f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"][:650])
-    texts = [" ".join(rng.choice(names[i % 2 * 50 :], 60)) for i in range(40)]
-    pq.write_table(
-        pa.table({"doc_id": range(40), "text": texts, "lang": ["fr" if i % 2 else "en" for i in range(40)]}), str(tmp_path / "documents.parquet")
-    )
-    counts = Counter(w for t in texts for w in t.split())
-    words = sorted(counts, key=lambda w: (-counts[w], w))
-    x = np.array([[t.split().count(w) for w in words] for t in texts], float)
-    x = x * np.log(40 / (x > 0).sum(0))
-    mean, std = x.mean(0), x.std(0)
-    x = np.where((x != 0) & (std > 1e-12), (x - mean) / np.maximum(std, 1e-12), 0)
-    y = np.arange(40) % 2
-    w, rate, last, rounds = np.zeros(len(words)), 0.003, None, 0
-    for rounds in range(200):
-        z = x @ w
-        loss = (np.logaddexp(0, z) - y * z).mean() + 0.005 * w @ w
-        if last is not None:
-            rate *= 1.05 if loss < last else 0.5
-            if abs(last - loss) < 1e-4:
-                break
-        last = loss
-        w = w - rate * (x.T @ (1 / (1 + np.exp(-z)) - y) / 40 + 0.01 * w)
-    assert len(words) > 500 and rounds > 20
-    got = {r.idx: r.w for r in plans.QUERIES["c8_logistic_weights"](spark, str(tmp_path)).collect()}
-    assert got == pytest.approx(dict(enumerate(w)), abs=1e-8)
-
-
 def test_forall_query_divides_by_brands(spark, sf_dir):
     from prairie.plans import relational as plans
 
