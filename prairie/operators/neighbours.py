@@ -1,4 +1,12 @@
-"""Nearest neighbours: labels by vote, and outliers by the distance to the k-th neighbour."""
+"""Nearest neighbours of sparse vectors by postings, and outliers among dense points.
+
+All results are exact. What cannot belong to a result is left out by bounds: of words'
+largest weights for sparse vectors, of the triangle inequality for points.
+
+Defined results: a null vector of a sparse table is an empty one; points without a vector, or
+with a null in it, are left out; each row is a point of its own, also where ids repeat; empty
+tables give no rows.
+"""
 
 from __future__ import annotations
 
@@ -6,54 +14,112 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prairie.operators.ranking import k_best
-from prairie.session import stored
+from prairie.session import forget, store, stored
 
 BLOCK = 2048  # points of one side of a tile
-QUERIES = 64  # query vectors that a task holds at a time
+PIVOTS = 1024  # groups of points at most; each is a vector that tasks and driver hold
+NORMS = 16  # buckets of sparse vectors by their norm
+SEEDS = 32  # vectors that are tried first for each query
+SLACK = 1e-6  # distances are rounded to six digits
+
+Batches = Iterator[pa.RecordBatch]
+
+
+# Sparse vectors --------------------------------------------------------------------
+
+def _normed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``name``, ``entries`` and ``norm`` (the sum of squares)."""
+    entries = F.coalesce("entries", F.array().cast("array<struct<idx:bigint,v:double>>"))
+    norm = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["v"] * e["v"])
+    return rows.select(F.col(key).alias(name), entries.alias("entries")).withColumn("norm", norm)
+
+
+def _distances(pairs: DataFrame, docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``q``, ``doc`` and ``distance`` of the given pairs."""
+    both = pairs.join(docs.select("doc", "entries", "norm"), "doc").join(
+        asked.select("q", F.col("entries").alias("q_entries"), F.col("norm").alias("q_norm")), "q"
+    )
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            keys, values = [], []
+            for name in ("entries", "q_entries"):
+                lists = batch.column(name)
+                inner = lists.flatten()
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                keys.append((row, inner.field("idx").to_numpy()))
+                values.append(inner.field("v").to_numpy())
+            width = 1 + max((int(i.max()) for _, i in keys if len(i)), default=0)
+            (row, idx), (q_row, q_idx) = keys
+            place, q_place = row * width + idx, q_row * width + q_idx  # both ascending
+            at = np.minimum(np.searchsorted(place, q_place), max(len(place) - 1, 0))
+            hit = place[at] == q_place if len(place) else np.zeros(len(q_place), bool)
+            dot = np.bincount(q_row[hit], values[0][at[hit]] * values[1][hit], batch.num_rows)
+            squares = batch.column("norm").to_numpy() + batch.column("q_norm").to_numpy() - 2 * dot
+            far = np.round(np.sqrt(np.maximum(squares, 0)), 6)
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("doc"), pa.array(far)], ["q", "doc", "distance"])
+
+    kinds = {c: both.schema[c].dataType.simpleString() for c in ("q", "doc")}
+    return both.mapInArrow(run, f"q {kinds['q']}, doc {kinds['doc']}, distance double")
+
+
+def _sparse(corpus: DataFrame, key: str, queries: DataFrame, query: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors with their norms and norm buckets, and queries with their norms; both written."""
+    docs = stored(_normed(corpus, key, "doc"), "vectors")
+    cuts = docs.approxQuantile("norm", [i / NORMS for i in range(1, NORMS)], 0.01)
+    levels = F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>")
+    return docs.withColumn("bucket", F.size(F.filter(levels, lambda c: F.col("norm") >= c))), stored(_normed(queries, query, "q"), "queries")
 
 
-def nearest(corpus: DataFrame, key: str, queries: list[tuple[int, dict[int, float]]], size: int, k: int) -> DataFrame:
+def candidates(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The (``q``, ``doc``) pairs that can be among the k nearest, each once.
+
+    First each query meets the vectors with the smallest norms and those that weigh its
+    heaviest word most; its k-th distance to these is a limit. Per norm bucket the limit says how
+    large a product must be. The query's words are put in the order of what they can add at
+    most; the lightest ones, which together do not reach the product, cannot bring in a vector. Only
+    the postings of the others are read. Where even a product of zero is enough, the
+    whole bucket is taken.
+    """
+    postings = docs.select("doc", "bucket", F.explode("entries").alias("e")).select("doc", "bucket", "e.idx", "e.v")
+    words = asked.select("q", F.explode("entries").alias("e")).select("q", "e.idx", F.col("e.v").alias("qv"))
+    flat = [r["doc"] for r in docs.orderBy("norm", "doc").limit(k).select("doc").collect()]  # k rows
+    shortest = asked.select("q", F.explode(F.array(*map(F.lit, flat))).alias("doc")) if flat else None
+    heaviest = words.groupBy("q").agg(F.max_by("idx", F.struct(F.abs("qv"), "idx")).alias("idx"))
+    holders = k_best(heaviest.join(postings, "idx"), SEEDS, "q", F.desc("v"), "doc").select("q", "doc")
+    if shortest is None:
+        return holders
+    tried = _distances(shortest.union(holders).distinct(), docs, asked)
+    limit = k_best(tried, k, "q", "distance", "doc").where(F.col("rank") == k).select("q", F.col("distance").alias("limit"))
+    # A row for each norm bucket.
+    buckets = [(r["bucket"], r["low"]) for r in docs.groupBy("bucket").agg(F.min("norm").alias("low")).collect()]
+    each = F.explode(F.array(*(F.struct(F.lit(b).alias("bucket"), F.lit(low).alias("low")) for b, low in buckets)))
+    reach = F.col("limit") + SLACK
+    product = F.coalesce((F.col("norm") + F.col("b.low") - reach * reach) / 2 - 1e-9, F.lit(0.0))
+    needs = stored(asked.join(limit, "q", "left").withColumn("b", each).select("q", "b.bucket", product.alias("product")), "needs")
+    whole = needs.where("product <= 0").join(docs.select("doc", "bucket"), "bucket").select("q", "doc")
+    tops = postings.join(words.select("idx").distinct(), "idx", "left_semi").groupBy("idx", "bucket").agg(F.max("v").alias("high"), F.min("v").alias("low"))
+    adds = F.greatest(F.lit(0.0), F.col("qv") * F.col("high"), F.col("qv") * F.col("low"))
+    bounds = words.join(tops, "idx").withColumn("adds", adds).join(needs.where("product > 0"), ["q", "bucket"])
+    order = F.sort_array(F.collect_list(F.struct("adds", "idx")))  # the words of one query
+    listed = bounds.groupBy("q", "bucket", "product").agg(order.alias("words"))
+    reached = F.transform("words", lambda w, i: F.struct(w["idx"].alias("idx"), F.aggregate(F.slice("words", 1, i + 1), F.lit(0.0), lambda s, x: s + x["adds"]).alias("sum")))
+    telling = listed.select("q", "bucket", "product", F.explode(reached).alias("w")).where("w.sum >= product").select("q", "bucket", "w.idx")
+    return telling.join(postings, ["idx", "bucket"]).select("q", "doc").union(whole).distinct()
+
+
+def nearest(corpus: DataFrame, key: str, queries: DataFrame, query: str, k: int) -> DataFrame:
     """``query``, ``key``, ``distance``, ``rank``: the k nearest rows of each query (ties by key).
 
-    ``corpus`` has ``entries``; the queries go out in blocks of ``QUERIES`` dense vectors of
-    ``size``, and each task keeps its k best for each query.
+    Both tables have ``entries`` in ascending order of ``idx``; ids are unique.
     """
-    parts = None
-    for first in range(0, len(queries), QUERIES):
-        some = queries[first : first + QUERIES]
-        dense = np.zeros((size, len(some)))
-        for j, (_, vector) in enumerate(some):
-            for i, value in vector.items():
-                dense[i, j] = value
-        sent = corpus.sparkSession.sparkContext.broadcast(([q for q, _ in some], dense))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            names, dense = sent.value
-            norms = (dense**2).sum(0)
-            best: list[list[tuple[float, int]]] = [[] for _ in names]
-            for batch in batches:
-                lists = batch.column("entries")
-                sizes = np.diff(lists.offsets.to_numpy())
-                inner = lists.flatten()
-                idx, v = inner.field("idx").to_numpy(), inner.field("v").to_numpy()
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                own = np.bincount(row, v * v, len(sizes))
-                keys = batch.column(key).to_numpy()
-                for j in range(len(names)):
-                    dot = np.bincount(row, v * dense[idx, j], len(sizes))
-                    far = np.round(np.sqrt(np.maximum(own + norms[j] - 2 * dot, 0)), 6)
-                    at = np.lexsort((keys, far))[:k]
-                    best[j] = sorted(best[j] + list(zip(far[at].tolist(), keys[at].tolist())))[:k]
-            rows = [(q, i, far) for q, found in zip(names, best) for far, i in found]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))] if rows else [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["query", key, "distance"])
-
-        made = corpus.select(key, "entries").mapInArrow(run, f"query long, {key} long, distance double")
-        parts = made if parts is None else parts.unionByName(made)
-    return k_best(parts, k, "query", "distance", key)
+    docs, asked = _sparse(corpus, key, queries, query)
+    found = _distances(candidates(docs, asked, k), docs, asked)
+    return k_best(found, k, "q", "distance", "doc").select(F.col("q").alias("query"), F.col("doc").alias(key), "distance", "rank")
 
 
 def majority(neighbours: DataFrame, label: str) -> DataFrame:
@@ -63,84 +129,213 @@ def majority(neighbours: DataFrame, label: str) -> DataFrame:
     return best.select("query", F.col(f"best.{label}").alias(label), F.col("best.n").alias("votes"))
 
 
+# Points ----------------------------------------------------------------------------
+
 def _tile(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     squares = (a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T
     return np.sqrt(np.maximum(squares, 0))
 
 
-def _packed(points: DataFrame, key: str, vector: str, groups: int, name: str) -> DataFrame:
-    """Points in ``groups`` rows of about ``BLOCK`` each, by a hash of the key."""
-    group = F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
-    return points.groupBy(group.alias(name)).agg(F.collect_list(F.struct(F.col(key).alias("key"), F.col(vector).alias("vec"))).alias(f"{name}_points"))
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
 
 
-def kth_distances(points: DataFrame, key: str, vector: str, k: int, of: DataFrame | None = None) -> DataFrame:
-    """``key``, ``n`` (neighbours found, at most k) and ``kth``: the largest of the k smallest distances.
+def _points(points: DataFrame, key: str, vector: str) -> DataFrame:
+    """``row`` (a number of its own), ``key`` and ``vec`` of every point with a vector; written."""
+    vec = F.col(vector).cast("array<double>")
+    rows = points.select(F.col(key).alias("key"), vec.alias("vec")).where(F.col("vec").isNotNull() & ~F.exists("vec", F.isnull))
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "points")
+
+
+def _listed(column: str, *fields: str) -> Column:
+    return F.collect_list(F.struct(*fields)).alias(column)
 
-    For the rows of ``of`` (all, by default) against all other points, tile by tile. A tile
-    gives k numbers for each of its points, never the pairs.
-    """
-    groups = max(1, -(-points.count() // BLOCK))
-    mine = _packed(of if of is not None else points, key, vector, groups, "a")
-    dealt = mine.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    tiles = dealt.join(_packed(points, key, vector, groups, "b"), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grouped(rows: DataFrame, n: int) -> tuple[DataFrame, np.ndarray, dict[int, tuple[int, float]]]:
+    """Points with their pivot's number (``g``); the pivots; number and radius of each group."""
+    wanted = min(PIVOTS, -(-2 * n // BLOCK))
+    pivots = np.array([r["vec"] for r in rows.orderBy(F.xxhash64("row"), "row").limit(wanted).select("vec").collect()])
+
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            for r in batch.to_pylist():
-                ids, others = [np.array([p["key"] for p in r[c]]) for c in ("a_points", "b_points")]
-                far = _tile(*(np.array([p["vec"] for p in r[c]], float) for c in ("a_points", "b_points")))
-                far[ids[:, None] == others[None]] = np.inf  # not oneself
-                best = np.sort(far, 1)[:, :k]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[np.isfinite(x)].tolist() for x in best], pa.list_(pa.float64()))], [key, "near"])
+            vecs = _matrix(batch.column("vec"))
+            for first in range(0, len(vecs), BLOCK):
+                far = _tile(vecs[first : first + BLOCK], pivots)
+                part = batch.slice(first, BLOCK)
+                new = [pa.array(far.argmin(1).astype(np.int32)), pa.array(far.min(1))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "key", "vec")), *new], ["row", "key", "vec", "g", "far"])
 
-    each = tiles.select("a_points", "b_points").mapInArrow(run, f"{key} long, near array<double>")
-    least = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
-    found = each.groupBy(key).agg(least.alias("near"))
-    return found.select(key, F.size("near").cast("long").alias("n"), F.round(F.element_at("near", -1), 6).alias("kth"))
+    kind = rows.schema["key"].dataType.simpleString()
+    placed = stored(rows.mapInArrow(run, f"row long, key {kind}, vec array<double>, g int, far double"), "groups")
+    stats = placed.groupBy("g").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()  # PIVOTS rows at most
+    return placed, pivots, {r["g"]: (r["n"], r["radius"] + 1e-9) for r in stats}
 
 
-def outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5) -> DataFrame:
-    """The m points whose k-th neighbour is farthest; with fewer than k others, the farthest found counts."""
-    return kth_distances(points, key, vector, k).where("n > 0").orderBy(F.desc("kth"), key).limit(m).select(key, "kth")
+def _reach(pivots: np.ndarray, groups: dict[int, tuple[int, float]], k: int) -> np.ndarray:
+    """For each group, a distance within which each of its points has k others."""
+    own = np.array(sorted(groups))
+    n, radius = (np.array([groups[g][i] for g in own], float) for i in (0, 1))
+    upper = _tile(pivots[own], pivots[own]) + radius[:, None] + radius[None]
+    out = np.full(len(pivots), np.inf)
+    for i, g in enumerate(own):
+        others = n - (own == g)
+        order = np.argsort(upper[i])
+        enough = np.flatnonzero(others[order].cumsum() >= k)
+        out[g] = upper[i][order[enough[0]]] if len(enough) else np.inf
+    return out
 
 
-def pruned_outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5) -> DataFrame:
-    """The same points from fewer distances; points with fewer than k others are left out.
+def tile_pairs(points: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, DataFrame, np.ndarray, dict[int, tuple[int, float]]]:
+    """Blocks of points, the pairs of blocks that must meet (``a``, ``b``, ``low``), pivots and groups.
 
-    The k-th distance among the points of one batch bounds the true one from above. Exact
-    distances of the m points with the largest bounds give a limit; only points whose bound
-    reaches it can be among the first m, and only they meet all others.
+    A block has points of one pivot. Its points' k-th distances are bounded by those inside the
+    block and by the geometry of the groups; a group that lies farther off is left out.
     """
+    rows = _points(points, key, vector)
+    placed, pivots, groups = _grouped(rows, rows.count())
+    sizes = F.create_map(*(F.lit(x) for g, (n, _) in sorted(groups.items()) for x in (g, -(-n // BLOCK)))) if groups else F.lit(None)
+    part = F.pmod(F.xxhash64("row"), sizes[F.col("g")]).cast("int") if groups else F.lit(0)
+    blocks = placed.withColumn("block", F.struct("g", part.alias("part"))).groupBy("block").agg(_listed("points", "row", "key", "vec"))
+    blocks = stored(blocks, "blocks")
+    if not groups:
+        return blocks, points.sparkSession.createDataFrame([], "a struct<g:int,part:int>, b struct<g:int,part:int>, low double"), pivots, groups
+    reach = _reach(pivots, groups, k)
+    own = np.array(sorted(groups))
+    radius = np.array([groups[g][1] for g in own])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            vecs = np.array(batch.column(vector).to_pylist(), float)
-            for first in range(0, batch.num_rows, BLOCK):
-                own = vecs[first : first + BLOCK]
-                far = _tile(own, own)
-                np.fill_diagonal(far, np.inf)
-                bound = np.sort(far, 1)[:, k - 1] if len(own) >= k else np.full(len(own), np.inf)
-                part = batch.slice(first, BLOCK)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bound + 1e-6)], [*part.schema.names, "bound"])
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                vecs = _matrix(batch.column("points")[i].values.field("vec"))
+                limit = reach[block["g"]]
+                if len(vecs) > k:
+                    far = _tile(vecs, vecs)
+                    np.fill_diagonal(far, np.inf)
+                    limit = min(limit, float(np.partition(far, k - 1, 1)[:, k - 1].max()))
+                low = np.maximum(_tile(pivots[block["g"]][None], pivots[own])[0] - radius - groups[block["g"]][1], 0)
+                met = [(block, {"g": int(g), "part": p}, float(x)) for g, x in zip(own, low) if x <= limit + SLACK for p in range(-(-groups[int(g)][0] // BLOCK))]
+                kind = pa.struct([("g", pa.int32()), ("part", pa.int32())])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*met), (kind, kind, pa.float64()))], ["a", "b", "low"])
+
+    pairs = blocks.mapInArrow(run, "a struct<g:int,part:int>, b struct<g:int,part:int>, low double")
+    return blocks, pairs, pivots, groups
+
+
+def _nearest_of_blocks(tiles: DataFrame, kind: str, k: int, pivots: np.ndarray | None = None, radii: dict[int, float] | None = None) -> DataFrame:
+    """``row``, ``key``, ``vec`` and ``near`` (the k smallest distances, ascending) of own points.
+
+    ``tiles`` has ``a`` (the block that a row is for), ``low`` (-1: own points, with the ``near``
+    found before; otherwise a bound from below), ``g`` (the pivot of the others) and ``points``.
+    A block's rows are read in the order of ``low``, and those too far off are passed over.
+    """
+
+    def run(batches: Batches) -> Batches:
+        name, own, vecs, best = None, None, None, None
+
+        def done() -> pa.RecordBatch:
+            near = [x[np.isfinite(x)].tolist() for x in np.sort(best, 1)]
+            return pa.RecordBatch.from_arrays([*(own.field(c) for c in ("row", "key", "vec")), pa.array(near, pa.list_(pa.float64()))], ["row", "key", "vec", "near"])
+
+        for batch in batches:
+            lows, gs, names = batch.column("low").to_pylist(), batch.column("g").to_pylist(), batch.column("a").to_pylist()
+            for i, low in enumerate(lows):
+                values = batch.column("points")[i].values
+                if low < 0:
+                    if own is not None:
+                        yield done()
+                    name, own, vecs = names[i], values, _matrix(values.field("vec"))
+                    best = np.full((len(vecs), k), np.inf)
+                    for j, near in enumerate(values.field("near").to_pylist()):
+                        best[j, : len(near)] = near
+                    rows = values.field("row").to_numpy()
+                    continue
+                assert names[i] == name
+                last = best.max(1)
+                at = np.flatnonzero(last >= low - SLACK)
+                if pivots is not None and len(at):  # points that the group can still bring a neighbour
+                    at = at[_tile(vecs[at], pivots[gs[i]][None])[:, 0] - radii[gs[i]] <= last[at] + SLACK]
+                if not len(at):
+                    continue
+                far = _tile(vecs[at], _matrix(values.field("vec")))
+                far[rows[at][:, None] == values.field("row").to_numpy()[None]] = np.inf  # not oneself
+                best[at] = np.partition(np.concatenate([best[at], far], 1), k - 1, 1)[:, :k]
+        if own is not None:
+            yield done()
+
+    ordered = tiles.repartition("a").sortWithinPartitions("a", "low")
+    return ordered.select("a", "low", "g", "points").mapInArrow(run, f"row long, key {kind}, vec array<double>, near array<double>")
 
-    rows = points.select(F.col(key).cast("long").alias(key), vector)
-    kind = rows.schema[vector].dataType.simpleString()
-    bounded = stored(rows.mapInArrow(run, f"{key} long, {vector} {kind}, bound double"), "bounds")
-    first = bounded.orderBy(F.desc("bound"), key).limit(m)
-    limit = kth_distances(rows, key, vector, k, first).where(F.col("n") == k).agg(F.min("kth"), F.count("*")).first()
-    least = limit[0] if limit[1] == m else 0.0
-    left = bounded.where(F.col("bound") >= least)
-    found = kth_distances(rows, key, vector, k, left).where(F.col("n") == k)
-    return found.orderBy(F.desc("kth"), key).limit(m).select(key, "kth")
 
+def _tiles(own: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows for :func:`_nearest_of_blocks`: ``own`` has a, points; ``others`` a, low, g, points."""
+    none = F.array().cast("array<double>")
+    padded = F.transform("points", lambda p: F.struct(p["row"].alias("row"), p["key"].alias("key"), p["vec"].alias("vec"), none.alias("near")))
+    return own.select("a", F.lit(-1.0).alias("low"), F.lit(-1).alias("g"), "points").union(others.select("a", "low", "g", padded.alias("points")))
 
-def co_occurrence(baskets: DataFrame, key: str, item: str, symmetric: bool = False) -> DataFrame:
-    """``a``, ``b``, ``n``: baskets that hold both items, a <= b; the diagonal counts the item's baskets.
 
-    Baskets are sets; with ``symmetric`` each pair stands in both orders.
+def kth_distances(points: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """``key``, ``n`` (neighbours found, at most k) and ``kth``: the largest of the k smallest distances.
+
+    A block of points meets the blocks that can hold neighbours of its points, nearest first,
+    and keeps k numbers for each point, never the pairs.
+    """
+    blocks, pairs, pivots, groups = tile_pairs(points, key, vector, k)
+    kind = points.schema[key].dataType.simpleString()
+    none = F.array().cast("array<double>")
+    own = F.transform("points", lambda p: F.struct(p["row"].alias("row"), p["key"].alias("key"), p["vec"].alias("vec"), none.alias("near")))
+    others = pairs.join(blocks.withColumnRenamed("block", "b"), "b").withColumn("g", F.col("b.g"))
+    tiles = _tiles(blocks.select(F.col("block").alias("a"), own.alias("points")), others)
+    found = _nearest_of_blocks(tiles, kind, k, pivots, {g: r for g, (_, r) in groups.items()})
+    return found.select(F.col("key").alias(key), F.size("near").cast("long").alias("n"), F.round(F.try_element_at("near", F.lit(-1)), 6).alias("kth")).where("n > 0")
+
+
+def outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5) -> DataFrame:
+    """The m points whose k-th neighbour is farthest; with fewer than k others, the farthest found counts."""
+    return kth_distances(points, key, vector, k).orderBy(F.desc("kth"), key).limit(m).select(key, "kth")
+
+
+def _compared(left: DataFrame, part: DataFrame, kind: str, n_left: int, k: int) -> DataFrame:
+    """``left`` with ``near`` brought up to date by the points of ``part`` (``slot``, row, key, vec)."""
+    groups = max(1, -(-n_left // BLOCK))
+    own = left.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("a")).agg(_listed("points", "row", "key", "vec", "near"))
+    others = part.groupBy("slot").agg(_listed("points", "row", "key", "vec"))
+    dealt = others.select("points", F.lit(0.0).alias("low"), F.lit(0).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("a"))
+    return _nearest_of_blocks(_tiles(own, dealt.join(own.select("a"), "a", "left_semi")), kind, k)
+
+
+def pruned_outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5, trace: list | None = None) -> DataFrame:
+    """The same points from fewer distances; points with fewer than k others are left out.
+
+    Points are dealt into random blocks. Round by round all candidates meet twice as many
+    blocks as in the round before, none of them twice. The k-th distance so far bounds a
+    candidate from above. The true k-th distances of the m candidates with the largest bounds are found
+    against all points; the m-th of these is the limit, and candidates whose bound is below it are
+    dropped. The limit only grows. ``trace`` gets the distances of each round.
     """
-    sets = baskets.select(key, item).distinct()
-    pairs = sets.select(key, F.col(item).alias("a")).join(sets.select(key, F.col(item).alias("b")), key).where("a <= b")
-    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    return counts.union(counts.where("a < b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")) if symmetric else counts
+    rows = _points(points, key, vector)
+    n, kind = rows.count(), rows.schema["key"].dataType.simpleString()
+    blocks = max(1, -(-n // BLOCK))
+    dealt = rows.withColumn("slot", F.pmod(F.xxhash64("row", F.lit(17)), F.lit(blocks)).cast("int"))
+    left, path = rows.withColumn("near", F.array().cast("array<double>")), None
+    first, width, n_left, limit = 0, 1, n, 0.0
+    while first < blocks and n_left:
+        part = dealt.where(F.col("slot").between(first, first + width - 1))
+        met, met_path = store(_compared(left, part, kind, n_left, k), "candidates")
+        bound = F.when(F.size("near") == k, F.try_element_at("near", F.lit(-1))).otherwise(float("inf"))
+        if trace is not None:
+            trace.append(n_left * part.count())
+        first, width = first + width, 2 * width
+        if first < blocks:
+            top = met.orderBy(F.desc(bound), "row").limit(m).withColumn("near", F.array().cast("array<double>"))
+            exact = _compared(top, dealt, kind, m, k).where(F.size("near") == k).agg(F.min(F.try_element_at("near", F.lit(-1))), F.count("*")).first()
+            if trace is not None:
+                trace.append(m * n)
+            limit = max(limit, exact[0]) if exact[1] == m else limit
+            met, kept_path = store(met.where(bound >= limit - SLACK), "candidates")
+            forget(rows.sparkSession, met_path)
+            met_path = kept_path
+        if path:
+            forget(rows.sparkSession, path)
+        left, path, n_left = met, met_path, met.count()
+    found = left.where(F.size("near") == k).select(F.col("key").alias(key), F.round(F.try_element_at("near", F.lit(-1)), 6).alias("kth"))
+    return found.orderBy(F.desc("kth"), key).limit(m)

@@ -10,6 +10,7 @@ from prairie.functions.text import words_ascii
 from prairie.operators import features
 from prairie.operators import models as m
 from prairie.operators import neighbours as nb
+from prairie.operators import products as pr
 from prairie.operators import ranking
 from prairie.operators import vectors as v
 from prairie.plans import vectors as pv
@@ -95,8 +96,7 @@ def neighbours(s, d, k=5):
     c = pv._corpus(s, d)
     corpus = stored(v.gathered(c.tfidf_norm(), c.bags, "doc_id"), "corpus")
     asked = v.gathered(pv.item_vectors(s, d, c), T(s, d, "benchmark"), "item_id")
-    queries = [(r.item_id, {e.idx: e.v for e in r.entries}) for r in asked.collect()]  # the stated query set
-    return nb.nearest(corpus, "doc_id", queries, pv.SIZE, k)
+    return nb.nearest(corpus, "doc_id", asked, "item_id", k)
 
 
 def labels(s, d):
@@ -154,8 +154,9 @@ QUERIES = {
     "w4_kth_distance": kth,
     "c13_o6_outliers": lambda s, d: nb.outliers(T(s, d, "embeddings"), "vec_id", "embedding"),
     "c14_outliers_pruned": lambda s, d: nb.pruned_outliers(T(s, d, "embeddings"), "vec_id", "embedding"),
-    "c15_g18_j19_co_occurrence": lambda s, d: nb.co_occurrence(baskets(s, d), "l_orderkey", "l_partkey"),
-    "m6_co_occurrence_full": lambda s, d: nb.co_occurrence(baskets(s, d), "l_orderkey", "l_partkey", symmetric=True),
+    "c15_g18_j19_co_occurrence": lambda s, d: pr.co_occurrence(baskets(s, d), "l_orderkey", "l_partkey"),
+    "m6_co_occurrence_full": lambda s, d: pr.co_occurrence(baskets(s, d), "l_orderkey", "l_partkey", symmetric=True),
+    "m7_gram": lambda s, d: pr.gram(T(s, d, "lineitem"), "l_orderkey", "l_partkey", "l_quantity").select("a", "b", F.round("v", 4).alias("v")),
     "g15_line_mse": lambda s, d: m.line_mse(T(s, d, "lineitem"), "l_quantity", "l_extendedprice", 1500.0, 100.0).select(F.round("mse", 1).alias("mse")),
     "g16_line_moments": moments,
     "c16_line_conditionals": conditionals,
@@ -194,6 +195,7 @@ SQL = {
     "c14_outliers_pruned": f"SELECT * FROM {_KTH} ORDER BY kth DESC, vec_id LIMIT 5",
     "c15_g18_j19_co_occurrence": f"SELECT * FROM {_CO.format('x.l_partkey <= y.l_partkey')}",
     "m6_co_occurrence_full": f"SELECT * FROM {_CO.format('true')}",
+    "m7_gram": "WITH e AS (SELECT l_orderkey AS r, l_partkey AS c, sum(l_quantity::DOUBLE) AS v FROM lineitem GROUP BY 1, 2) SELECT x.c AS a, y.c AS b, round(sum(x.v * y.v), 4) AS v FROM e x JOIN e y USING (r) WHERE x.c <= y.c GROUP BY 1, 2",
     "g15_line_mse": "SELECT round(avg((100.0::DOUBLE + 1500 * l_quantity - l_extendedprice) ** 2), 1) AS mse FROM lineitem",
     "g16_line_moments": _M.format(""),
     "c16_line_conditionals": f"""WITH s AS ({_M.format('l_returnflag,')} GROUP BY 1), v AS (SELECT *, 1 / (1 / 1e4::DOUBLE + n / 4e8::DOUBLE) AS vc, 1 / (1 / 1e2::DOUBLE + sxx / 4e8::DOUBLE) AS vm FROM s)

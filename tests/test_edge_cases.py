@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prairie.functions import scalars, text
-from prairie.operators import graph, models, neighbours, ranking, relational, vectors
+from prairie.operators import graph, models, neighbours, products, ranking, relational, vectors
 from prairie.sources import lines, sinks
 
 
@@ -269,7 +269,7 @@ def test_outliers_of_few_points(spark):
 
 def test_co_occurrence_diagonal(spark):
     df = table(spark, [(1, "a"), (1, "b"), (1, "a"), (2, "a")], "basket int, item string")
-    got = {(r.a, r.b): r.n for r in neighbours.co_occurrence(df, "basket", "item", symmetric=True).collect()}
+    got = {(r.a, r.b): r.n for r in products.co_occurrence(df, "basket", "item", symmetric=True).collect()}
     assert got == {("a", "a"): 2, ("a", "b"): 1, ("b", "a"): 1, ("b", "b"): 1}
 
 
