@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prairie.operators.relational import with_scalar
-from prairie.session import forget, store
+from prairie.session import forget, fresh_path, store
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -58,10 +58,11 @@ def expand(edges: DataFrame, frontier: DataFrame, node: str = "node", src: str =
 def rank_step(ranks: DataFrame, edges: DataFrame, n: int, damping: float) -> DataFrame:
     """``node``, ``degree``, ``old``, ``rank`` after one round; ranks of nodes without out-edges go to all.
 
-    ``ranks`` has ``node``, ``degree`` (null: no out-edge), ``rank``.
+    ``ranks`` has ``node``, ``degree`` (null: no out-edge), ``rank``. Edges from and to other
+    nodes give nothing and deliver nothing.
     """
-    given = edges.join(ranks.where("degree IS NOT NULL").select(F.col("node").alias("src"), (F.col("rank") / F.col("degree")).alias("part")), "src")
-    got = given.groupBy(F.col("dst").alias("node")).agg(F.sum("part").alias("got"))
+    given = ranks.where("degree IS NOT NULL").select(F.col("node").alias("src"), (F.col("rank") / F.col("degree")).alias("part"))
+    got = edges.join(given, "src").groupBy(F.col("dst").alias("node")).agg(F.sum("part").alias("got"))
     sinks = ranks.where("degree IS NULL").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("lost"))
     new = with_scalar(ranks.join(got, "node", "left"), sinks)
     rank = (1 - damping) / n + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / n)
@@ -79,27 +80,55 @@ def start_ranks(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:
     return nodes.join(degrees, "node", "left").select("node", "degree", F.lit(1.0 / n if n else 0.0).alias("rank"))
 
 
-def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 0.01) -> DataFrame:
-    """``node`` and ``rank``; rounds go on until the ranks change by ``tolerance`` at most in sum."""
+def laid_out(edges: DataFrame, src: str = "src", dst: str = "dst", buckets: int | None = None) -> DataFrame:
+    """The edges as a table bucketed by their source, which a join on it reads where they lie.
+
+    It stays in the shared folder until the application ends; there are as many buckets as
+    shuffle partitions, so that the other side of such a join is dealt out alike.
+    """
+    spark = edges.sparkSession
+    path = fresh_path(spark, "edges")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One file for each bucket: the rows are dealt out as the buckets are.
+    rows.repartition(n, "src").write.bucketBy(n, "src").sortBy("src").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float | None = 0.01, rounds: int | None = None) -> DataFrame:
+    """``node`` and ``rank``; rounds go on until the ranks change by ``tolerance`` at most in sum.
+
+    ``rounds`` is the largest number of rounds; with ``tolerance`` None it is their number. The
+    edges are computed and dealt out once; a round shuffles ranks and what they give.
+    """
     spark = nodes.sparkSession
     n = nodes.count()
-    now, path = store(start_ranks(nodes, edges, n), "ranks")
-    while n:
-        new, new_path = store(rank_step(now, edges, n, damping), "ranks")
+    fixed = laid_out(edges)
+    now, path = store(start_ranks(nodes, fixed, n), "ranks")
+    done = 0
+    while n and (rounds is None or done < rounds):
+        new, new_path = store(rank_step(now, fixed, n, damping), "ranks")
         forget(spark, path)
-        now, path = new, new_path
-        if change(now) <= tolerance:
+        now, path, done = new, new_path, done + 1
+        if tolerance is not None and change(now) <= tolerance:
             break
     return now.select("node", "rank")
 
 
 def all_components(nodes: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``node`` and ``root`` of every node; nodes without edges are components of their own."""
+    """``node``, ``root`` and ``listed`` of every node, of ``nodes`` or of an edge.
+
+    Nodes without edges are components of their own. Nodes that only edges have connect others and
+    count as members (``listed`` is false for them); one of them may be the root.
+    """
     found = components(edges, src, dst)
-    return nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    own = nodes.select("node").where("node IS NOT NULL").distinct().withColumn("_own", F.lit(True))
+    both = own.join(found, "node", "full")
+    return both.select("node", F.coalesce("root", "node").alias("root"), F.coalesce("_own", F.lit(False)).alias("listed"))
 
 
 def components_between(found: DataFrame, low: int, high: int) -> DataFrame:
-    """The nodes of components of ``low`` to ``high`` nodes, with the size."""
+    """The listed nodes of components of ``low`` to ``high`` nodes, with the size, which counts all members."""
     sizes = found.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size").between(low, high))
-    return found.join(sizes, "root")
+    return found.where("listed").drop("listed").join(sizes, "root")

@@ -180,8 +180,12 @@ def best_threshold(counts: DataFrame) -> DataFrame:
 
 
 def line_moments(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame:
-    """n, sums of x, y, xx, xy, yy, in one pass; as decimals, so that the order does not matter."""
-    a, b = F.col(x).cast("decimal(18,4)"), F.col(y).cast("decimal(18,4)")
+    """n, sums of x, y, xx, xy, yy, in one pass; as decimals, so that the order does not matter.
+
+    Rows in which x or y is null, NaN, infinite or 1e14 or more in size are left out, also of n.
+    """
+    a, b = F.col(x).try_cast("decimal(18,4)"), F.col(y).try_cast("decimal(18,4)")
+    df = df.where(a.isNotNull() & b.isNotNull())
     sums = {"sx": a, "sy": b, "sxx": a * a, "sxy": a * b, "syy": b * b}
     return df.groupBy(*(by or [])).agg(F.count("*").alias("n"), *(F.sum(e).cast("double").alias(k) for k, e in sums.items()))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from prairie.operators import ranking
 from prairie.sources import lines as src
 from prairie.sources import sinks
+from prairie.session import fresh_path
 from prairie.session import table as T
 
 FIELDS = {"head": 0, "licence": 1, "stamp": 3, "total": 10}
@@ -58,7 +59,8 @@ def clean(spark, d):
 
 
 def cents(column):
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+    """Sum in cents; amounts of 1e16 or more, infinite ones and NaN are not counted in."""
+    return F.sum(F.col(column).try_cast("decimal(18,2)")).cast("double")
 
 
 def revenue_by_date(spark, d):
@@ -102,6 +104,41 @@ def ranked_lines(spark, d):
     return sinks.ranked_lines(top, "key", "revenue")
 
 
+def from_folder(spark, d):
+    """Revenue per date of lines that lie in the files of a folder, each place of a line counted."""
+    path = fresh_path(spark, "lines")
+    taxi_lines(spark, d).repartition(6).write.text(path)
+    rows = src.scan_delimited(src.read_lines(spark, path), FIELDS)
+    rows = src.drop_headers(rows, {"head": "medallion", "licence": "hack_license", "total": "total_amount"})
+    return src.drop_dirty(rows, "licence", "stamp", "total").groupBy("day").agg(F.count("*").alias("lines"), cents("amount").alias("revenue"))
+
+
+def from_part_files(spark, d):
+    """The second job of the roll-up: part files of key, tab, value, read as one relation for the best ten."""
+    path = fresh_path(spark, "revenue")
+    rows = revenue_by_driver(spark, d).select("key", F.format_string("%.2f", "revenue").alias("revenue"))
+    sinks.write_key_value(rows, path, "key", "revenue", parts=5)
+    return ranking.ranked(sinks.read_key_value(spark, path), 10, "amount", "key")
+
+
+def from_ranked_file(spark, d):
+    path = fresh_path(spark, "ranked")
+    top = top_drivers(spark, d).select("rank", "key", F.format_string("%.2f", "revenue").alias("revenue"))
+    sinks.write_ranked(top, path, "key", "revenue")
+    return sinks.read_ranked(spark, path)
+
+
+def replaced(spark, d):
+    """Orders as a table with a partition for each status, of which one is written anew."""
+    path = fresh_path(spark, "orders")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = T(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    sinks.save_table(rows, name, path, ("o_orderstatus",))
+    dearer = rows.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    table = sinks.replace_partitions(dearer, name)
+    return table.groupBy("o_orderstatus").agg(F.count("*").alias("n"), cents("o_totalprice").alias("total"))
+
+
 def tagged_lines(spark, d) -> DataFrame:
     """A line for each document; each seventh has no tag."""
     text = F.translate("text", "\n\r", "  ")
@@ -150,8 +187,18 @@ QUERIES = {
     "w2_ranked_drivers": top_drivers,
     "k1_key_value_lines": driver_lines,
     "k3_ranked_lines": ranked_lines,
+    "s8_folder_of_files": from_folder,
+    "k1_s8_part_files": from_part_files,
+    "k2_replaced_partition": replaced,
+    "k3_ranked_file": from_ranked_file,
 }
+_SQL_REVENUE = f"(SELECT key, try_cast(printf('%.2f', sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE) AS DOUBLE) AS amount FROM {_SQL_CLEAN} GROUP BY 1)"
+_SQL_BEST = f"SELECT row_number() OVER (ORDER BY amount DESC, key) AS rank, key, amount FROM {_SQL_REVENUE} ORDER BY 1 LIMIT 10"
 SQL = {
+    "s8_folder_of_files": f"SELECT day, count(*) AS lines, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1",
+    "k1_s8_part_files": _SQL_BEST,
+    "k3_ranked_file": _SQL_BEST,
+    "k2_replaced_partition": "SELECT o_orderstatus, count(*) AS n, sum(CASE WHEN o_orderstatus = 'F' THEN (o_totalprice * 2)::DECIMAL(18,2) ELSE o_totalprice::DECIMAL(18,2) END)::DOUBLE AS total FROM orders GROUP BY 1",
     "s1_scan_delimited": f"SELECT * FROM {_SQL_SCAN}",
     "s2_drop_headers": f"SELECT * FROM {_SQL_BODY}",
     "s3_tagged_by_position": f"SELECT substring(value, instr(value, 'id=\"') + 4, instr(value, '\" url=') - instr(value, 'id=\"') - 4) AS id, substring(value, instr(value, '\">') + 2) AS text FROM {_SQL_TAGGED} WHERE instr(value, 'id=\"') > 0 AND instr(value, '\" url=') >= instr(value, 'id=\"') + 4 AND instr(value, '\">') > 0",
@@ -159,16 +206,16 @@ SQL = {
     "s5_numeric_last_wins": "SELECT o_custkey AS id, arg_max(round(o_totalprice, 2), o_orderkey) AS x, arg_max(dayofyear(o_orderdate), o_orderkey)::DOUBLE AS y FROM orders GROUP BY 1",
     "s6_typed_table_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "s6_typed_table": "SELECT * FROM orders",
-    "s7_key_value": f"SELECT key, sum(amount::DECIMAL(18,2))::DOUBLE AS amount FROM {_SQL_CLEAN} GROUP BY 1",
+    "s7_key_value": f"SELECT key, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS amount FROM {_SQL_CLEAN} GROUP BY 1",
     "s9_query_list": "SELECT (item_id % 9 + 1)::INT AS k, replace(text, chr(10), ' ') AS query FROM benchmark",
     "p8_month_prefix": f"SELECT * FROM {_SQL_CLEAN} WHERE starts_with(day, '1997-06')",
     "p9_drop_dirty": f"SELECT * FROM {_SQL_CLEAN}",
     "p10_lines_with": f"SELECT md5(value) AS md5 FROM {_SQL_TAGGED} WHERE contains(value, 'id')",
     "p11_point_lookup": "SELECT doc_id, lang, source FROM documents WHERE doc_id = 42",
-    "g6_revenue_by_date": f"SELECT day, sum(amount::DECIMAL(18,2))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1",
-    "g7_revenue_by_driver": f"SELECT key, sum(amount::DECIMAL(18,2))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1",
+    "g6_revenue_by_date": f"SELECT day, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1",
+    "g7_revenue_by_driver": f"SELECT key, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1",
     "o2_top_revenue": "WITH s AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS revenue FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) SELECT row_number() OVER (ORDER BY revenue DESC, o_custkey) AS rank, o_custkey, c_name, revenue FROM s JOIN customer ON c_custkey = o_custkey",
-    "w2_ranked_drivers": f"WITH s AS (SELECT key, sum(amount::DECIMAL(18,2))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1) SELECT key, revenue, row_number() OVER (ORDER BY revenue DESC, key) AS rank FROM s ORDER BY rank LIMIT 10",
-    "k1_key_value_lines": f"SELECT key || chr(9) || printf('%.2f', sum(amount::DECIMAL(18,2))::DOUBLE) AS value FROM {_SQL_CLEAN} GROUP BY key",
-    "k3_ranked_lines": f"WITH s AS (SELECT key, sum(amount::DECIMAL(18,2))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, key) AS rank FROM s) SELECT rank || chr(9) || key || chr(9) || printf('%.2f', revenue) AS value FROM r WHERE rank <= 10",
+    "w2_ranked_drivers": f"WITH s AS (SELECT key, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1) SELECT key, revenue, row_number() OVER (ORDER BY revenue DESC, key) AS rank FROM s ORDER BY rank LIMIT 10",
+    "k1_key_value_lines": f"SELECT key || chr(9) || printf('%.2f', sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE) AS value FROM {_SQL_CLEAN} GROUP BY key",
+    "k3_ranked_lines": f"WITH s AS (SELECT key, sum(try_cast(amount AS DECIMAL(18,2)))::DOUBLE AS revenue FROM {_SQL_CLEAN} GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, key) AS rank FROM s) SELECT rank || chr(9) || key || chr(9) || printf('%.2f', revenue) AS value FROM r WHERE rank <= 10",
 }

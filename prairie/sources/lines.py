@@ -24,10 +24,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_delimited(lines: DataFrame, fields: dict[str, int], sep: str = ",", least: int = 11, value: str = "value") -> DataFrame:
-    """Named fields of lines with at least ``least`` of them; trailing empty fields count."""
+    """Named fields of lines with at least ``least`` of them; trailing empty fields count.
+
+    The parts of a line are a generated row: filters on the fields, also those put on top later,
+    stay above it, so that a line is split once.
+    """
     parts = F.split(F.col(value), f"\\Q{sep}\\E", -1)
-    rows = lines.withColumn("_f", parts).where((F.length(value) > 0) & (F.size("_f") >= least))
-    return rows.select(*[c for c in lines.columns if c != value], *(F.get("_f", F.lit(i)).alias(n) for n, i in fields.items()))
+    fitting = F.when(F.size("_f") >= least, F.array(F.struct(*(F.get("_f", F.lit(i)).alias(n) for n, i in fields.items()))))
+    kept = [c for c in lines.columns if c != value]
+    return lines.where(F.length(value) > 0).select(*kept, F.explode(F.array(parts)).alias("_f")).select(*kept, F.inline(fitting))
 
 
 def drop_headers(rows: DataFrame, names: dict[str, str]) -> DataFrame:
