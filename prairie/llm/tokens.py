@@ -3,8 +3,13 @@
 The vocabulary file is a parameter. A byte-level BPE with the usual word pattern never joins
 text over a single blank or newline between two other characters, so a text is cut there and
 distinct pieces are encoded once and remembered, single words by the library's model alone; a
-part with other white space goes to the library as a whole. Tests hold the result against the
-library on the whole text.
+part with other white space goes to the library as a whole. A text that spells out a token
+the vocabulary marks as added, as ``<|endoftext|>``, goes to the library as a whole too, which
+gives that token's id. Tests hold the result against the library on the whole text.
+
+A worker process keeps its pieces for the tasks that follow. Once ``CACHED`` of them are held,
+they become the old generation and the one before is dropped; an old piece that is met again
+joins the new ones. So frequent pieces stay, and memory is bounded.
 """
 
 from __future__ import annotations
@@ -16,7 +21,8 @@ from array import array
 
 import numpy as np
 
-CACHED = 400_000  # pieces remembered in a worker
+CACHED = 300_000  # pieces of a generation, of which a worker remembers two
+LONGEST = 64  # characters of a piece that is remembered
 _MARKS = ".,;:!?*&$%#"
 _LATIN = "\u0250"  # the first character after the Latin ones
 _SAFE_NEWLINE = re.compile(r"(?<=\S)(\n)(?=\S)")
@@ -36,19 +42,33 @@ def _byte_characters() -> dict[int, str]:
 
 
 class _Pieces(dict):
-    """Id bytes of pieces; a missing one is encoded, and remembered while there is room."""
+    """Id bytes of pieces; a missing one is taken from the old generation, or encoded."""
 
     def __init__(self, library):
         super().__init__({"": b""})
+        self.old: dict[str, bytes] = {}
         self.code = "H" if library.get_vocab_size() <= 1 << 16 else "I"
         self.ids = [array(self.code, [i]).tobytes() for i in range(library.get_vocab_size())]
         self.table = _byte_characters()
         self.library, self.tokenize = library, library.model.tokenize
 
     def __missing__(self, piece: str) -> bytes:
+        raw = self.old.get(piece)
+        if raw is None:
+            raw = self.encoded(piece)
+        if len(piece) > LONGEST:
+            return raw
+        if len(self) >= CACHED:
+            self.old = dict(self)
+            self.clear()
+            self[""] = b""
+        self[piece] = raw
+        return raw
+
+    def encoded(self, piece: str) -> bytes:
         head = piece.rstrip(_MARKS)
         if max(piece) >= _LATIN:  # other scripts: what counts as a letter is left to the library
-            raw = self._whole(piece)
+            raw = self.whole(piece)
         elif len(head) < len(piece) and head[-1:].isalpha() and len(head.split()) == 1:
             # After a letter, a run of these marks is a word of its own.
             raw = self[head] + self[piece[len(head) :]]
@@ -56,26 +76,33 @@ class _Pieces(dict):
             ids = self.ids
             raw = b"".join([ids[t.id] for t in self.tokenize(piece.encode().decode("latin-1").translate(self.table))])
         else:
-            raw = self._whole(piece)
-        if len(self) < CACHED:
-            self[piece] = raw
+            raw = self.whole(piece)
         return raw
 
-    def _whole(self, piece: str) -> bytes:
+    def whole(self, piece: str) -> bytes:
         [found] = self.library.encode_batch_fast([piece], add_special_tokens=False)
         return array(self.code, found.ids).tobytes()
 
 
-class Encoder:
-    """``encode`` gives the ids of each text as bytes of ``dtype``, followed by those of ``end``."""
+_HELD: dict[str, _Pieces] = {}  # of this process, by vocabulary
 
-    def __init__(self, path: str, end: int):
+
+def _pieces(path: str) -> _Pieces:
+    if path not in _HELD:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.cache = _Pieces(self.library)
+        _HELD[path] = _Pieces(Tokenizer.from_file(path))
+    return _HELD[path]
+
+
+class Encoder:
+    """``encode`` gives the ids of each text as bytes of ``dtype``, followed by those of ``end``."""
+
+    def __init__(self, path: str, end: int):
+        self.cache = _pieces(path)
+        self.library = self.cache.library
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.cache.code == "H" else "<u4"
         self.end = array(self.cache.code, [end]).tobytes()
 
@@ -91,11 +118,11 @@ class Encoder:
         return [text]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get, pieces, end = self.cache.__getitem__, self.pieces, self.end
+        get, pieces, end, added, whole = self.cache.__getitem__, self.pieces, self.end, self.added, self.cache.whole
         collecting = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
         try:
-            return [b"".join(map(get, pieces(t))) + end for t in texts]
+            return [(whole(t) if any(a in t for a in added) else b"".join(map(get, pieces(t)))) + end for t in texts]
         finally:
             if collecting:
                 gc.enable()

@@ -223,7 +223,6 @@ def test_pipeline_is_that_of_plain_python(spark, sf_dir):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.vocabulary())
-    library.encode_special_tokens = True
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     want = plain_pipeline(rows, items, lambda t: library.encode(t or "", add_special_tokens=False).ids + [packing.END])

@@ -214,7 +214,6 @@ def library():
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(tokens.vocabulary())
-    made.encode_special_tokens = True
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
