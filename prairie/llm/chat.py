@@ -6,8 +6,8 @@ the turns. A template then writes the turns of a conversation as one text, with
 and reads them back.
 
 Defined results: null texts and roles are empty; a null or unreadable record, or one that no
-mapping fits, has an empty list of turns and no layout; turns of a conversation come in the
-order of turn (nulls first), place in the record, role, text, so that ties and repeated rows
+mapping fits, has an empty list of turns and no layout, and a conversation of such records
+alone an empty text; turns of a conversation come in the order of turn (nulls first), place in the record, role, text, so that ties and repeated rows
 have one order; rows with a null conversation id form one conversation; fields that no
 mapping names are ignored, whatever their names; an empty table gives no conversations.
 """
@@ -258,9 +258,9 @@ def formatted(records: DataFrame, key: str, order: str, record: str, template: T
     The turns of one conversation meet in one row, as its text is one value.
     """
     rows = canonical(records.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(record).alias("_record")), "_record", mappings)
-    each = rows.select("_key", "_order", F.posexplode("turns").alias("_place", "_turn"))
+    each = rows.select("_key", "_order", F.posexplode_outer("turns").alias("_place", "_turn"))
     grouped = each.groupBy("_key").agg(
-        F.sort_array(F.collect_list(F.struct("_order", "_place", "_turn"))).alias("_all")
+        F.sort_array(F.collect_list(F.when(F.col("_turn").isNotNull(), F.struct("_order", "_place", "_turn")))).alias("_all")
     )
     turns = F.transform("_all", lambda x: x["_turn"])
     return grouped.select(

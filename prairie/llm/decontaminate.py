@@ -5,8 +5,9 @@ windows are its runs of 13 words, or the whole item if it is shorter. The automa
 every window once and finds all that occur in a text in one scan; word numbers lead back to
 places in the original text.
 
-The windows come to the driver in blocks of at most ``BLOCK`` and each block has one
-automaton; a usual benchmark is one block. All blocks are run over all texts.
+The windows are a table; about ``BLOCK`` of them at a time are sent to the tasks as one
+automaton, which scans all texts, before the next block follows; a usual benchmark is one
+block. A window that is found leads to its items by a join.
 
 Defined results: a null text or item has no words; items with the same id are one item, with
 the windows of each row; a null item id is written as an empty one; repeated documents are
@@ -21,11 +22,13 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prairie.llm.batches import add_columns
-from prairie.session import table
+from prairie.llm.columns import quoted, whole
+from prairie.session import stored, table
 
 WIDTH = 13
 BLOCK = 200_000  # windows of one automaton
@@ -55,27 +58,21 @@ def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
     return points[np.flatnonzero(edge == 1)], points[np.flatnonzero(edge == -1)]
 
 
-def _blocks(items: DataFrame, key: str, text: str, width: int, block: int) -> list[list[tuple[bytes, list[str]]]]:
-    """Distinct windows with the ids of their items, in blocks."""
+def window_table(items: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """(window, item), each once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(w, k) for k, t in zip(batch["item"], batch["text"]) for w in dict.fromkeys(windows(t, width))]
             yield pd.DataFrame(found, columns=["window", "item"])
 
-    rows = items.select(F.coalesce(items[key].cast("string"), F.lit("")).alias("item"), items[text].alias("text"))
-    each = rows.mapInPandas(run, "window binary, item string").groupBy("window").agg(F.collect_set("item").alias("items"))
-    blocks: list[list] = [[]]
-    for row in each.toLocalIterator():  # one partition of the benchmark at a time
-        if len(blocks[-1]) == block:
-            blocks.append([])
-        blocks[-1].append((bytes(row.window), sorted(row.items)))
-    return [b for b in blocks if b]
+    rows = items.select(F.coalesce(quoted(key).cast("string"), F.lit("")).alias("item"), quoted(text).alias("text"))
+    return rows.mapInPandas(run, "window binary, item string").distinct()
 
 
-def _automaton(block) -> ahocorasick.Automaton:
+def _automaton(block: list[bytes]) -> ahocorasick.Automaton:
     made = ahocorasick.Automaton()
-    for i, (window, _) in enumerate(block):
+    for i, window in enumerate(block):
         made.add_word(window.decode("latin-1"), (i, len(window), window.count(b" ") - 1))
     made.make_automaton()
     return made
@@ -106,45 +103,79 @@ def _marked(text: str, n_words: int, runs: list[tuple[int, int]]) -> tuple[int,
     return int(inside.sum()), [{"start": int(a), "end": int(b)} for a, b in pairs]
 
 
-def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """``key``, ``n_words``, ``n_hit``, ``items`` (sorted ids) and ``spans``: the hit places.
-
-    Spans are code points of the original text, end exclusive, from the first to the last
-    word of each run of hit words.
-    """
-    blocks = _blocks(items, item_key, item_text, width, block)
-    sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
+def _hits(rows: DataFrame, block: list[bytes]) -> tuple[DataFrame, Broadcast]:
+    """``rows`` with ``n_words``, the ``runs`` (first word, words) of the block's windows, and the ``windows`` found."""
+    sent = rows.sparkSession.sparkContext.broadcast(block)
 
     def begin():
-        only = _automaton(sent[0].value) if len(sent) == 1 else None
+        automaton = _automaton(sent.value)
 
         def make(batch: pa.RecordBatch) -> dict[str, list]:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            norms = [words(t) for t in texts]
-            counts = [len(n) for n in norms]
-            norms = [(b" " + b" ".join(n) + b" ").decode("latin-1") if n else "" for n in norms]
-            hits: list[list[tuple[int, int]]] = [[] for _ in texts]
-            ids: list[set[str]] = [set() for _ in texts]
-            for one in sent:
-                automaton = only or _automaton(one.value)
-                for i, norm in enumerate(norms):
-                    if norm:
-                        runs, found = _scan(automaton, norm)
-                        hits[i] += runs
-                        ids[i].update(item for w in found for item in one.value[w][1])
-            marked = [_marked(*x) for x in zip(texts, counts, hits)]
+            norms = [words(t) for t in batch.column("_text").to_pylist()]
+            found = [_scan(automaton, (b" " + b" ".join(n) + b" ").decode("latin-1")) if n and len(automaton) else ([], set()) for n in norms]
             return {
-                "n_words": counts,
-                "n_hit": [n for n, _ in marked],
-                "items": [sorted(i) for i in ids],
-                "spans": [s for _, s in marked],
+                "n_words": [len(n) for n in norms],
+                "runs": [[{"first": a, "n": n} for a, n in runs] for runs, _ in found],
+                "windows": [[sent.value[i] for i in sorted(ids)] for _, ids in found],
             }
 
         return make
 
-    rows = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-    added = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
-    return add_columns(rows, added, begin, drop=("_text",)).withColumnRenamed("_key", key)
+    return add_columns(rows, "n_words long, runs array<struct<first:long,n:long>>, windows array<binary>", begin), sent
+
+
+def _spans(rows: DataFrame) -> DataFrame:
+    """``n_hit`` and ``spans`` from the text, its number of words and its runs."""
+
+    def begin():
+        def make(batch: pa.RecordBatch) -> dict[str, list]:
+            made = []
+            for text, n, runs in zip(*(batch.column(c).to_pylist() for c in ("_text", "n_words", "runs"))):
+                made.append(_marked(text or "", n, [(r["first"], r["n"]) for r in runs]))
+            return {"n_hit": [n for n, _ in made], "spans": [s for _, s in made]}
+
+        return make
+
+    return add_columns(rows, "n_hit long, spans array<struct<start:int,end:int>>", begin, drop=("_text", "runs"))
+
+
+def _found(docs: DataFrame, windows_: DataFrame, key: str, text: str, block: int) -> DataFrame:
+    """``_key``, ``n_words``, ``n_hit``, ``spans`` and the ``windows`` found in each row."""
+    rows = docs.select(quoted(key).alias("_key"), quoted(text).alias("_text"))
+    distinct = windows_.select("window").distinct()
+    blocks = max(1, -(-distinct.count() // block))
+    part = F.pmod(F.xxhash64("window"), F.lit(blocks))
+
+    def one(k: int) -> list[bytes]:
+        return sorted(bytes(r.window) for r in distinct.where(part == k).collect())  # about ``block`` windows
+
+    made, sent = _hits(rows, one(0))
+    if blocks == 1:
+        return _spans(made)
+    # Block by block: all rows once, then of each block what it hits, met with the rows at the end.
+    first = stored(made.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    sent.unpersist()
+    hits = first.select("_row", "runs", "windows")
+    for k in range(1, blocks):
+        made, sent = _hits(first.select("_row", "_text"), one(k))
+        hits = hits.unionByName(stored(made.where(F.size("windows") > 0).select("_row", "runs", "windows"), "hits"))
+        sent.unpersist()
+    every = hits.groupBy("_row").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("windows")).alias("windows"))
+    return _spans(first.drop("runs", "windows").join(every, "_row").drop("_row"))
+
+
+def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+    """``key``, ``n_words``, ``n_hit``, ``items`` (sorted ids) and ``spans``: the hit places.
+
+    Spans are code points of the original text, end exclusive, from the first to the last
+    word of each run of hit words.
+    """
+    windows_ = stored(window_table(items, item_key, item_text, width), "windows")
+    found = stored(_found(docs, windows_, key, text, block).withColumn("_row", F.monotonically_increasing_id()), "scanned")
+    each = found.select("_row", F.explode("windows").alias("window")).join(windows_, "window").select("_row", "item").distinct()
+    items_ = each.groupBy("_row").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    joined = found.drop("windows").join(items_, "_row", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    return joined.select(F.col("_key").alias(key), "n_words", "n_hit", "items", "spans")
 
 
 def contaminated():
@@ -168,9 +199,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The scan carries each row as its key, so that nothing is joined.
     """
-    row = F.struct(*(docs[c] for c in docs.columns))
-    scanned = scan(docs.select(row.alias("_row"), docs["text"].alias("_body")), table(spark, sf_dir, "benchmark"), "_row", "_body")
-    return scanned.where(~contaminated()).select("_row.*")
+    windows_ = stored(window_table(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH), "windows")
+    found = _found(docs.select(whole(docs).alias("_whole"), quoted("text").alias("_body")), windows_, "_whole", "_body", BLOCK)
+    return found.where(~contaminated()).select("_key.*")
 
 
 QUERIES = {"op6_contamination": op6_contamination}

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prairie.llm.batches import add_columns
+from prairie.llm.columns import content_hash, free_name, quoted
 from prairie.operators.graph import components
 from prairie.session import stored, table
 
@@ -370,7 +371,7 @@ def crossing_pairs(shared: DataFrame, classes: DataFrame, roots: DataFrame, perc
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``_key``, ``class``, ``size``), classes (``class``, ``id``), and ``node``, ``root`` of ids that link."""
-    rows = docs.select(docs[key].alias("_key"), F.coalesce(docs[text], F.lit("")).alias("_text"))
+    rows = docs.select(quoted(key).alias("_key"), F.coalesce(quoted(text), F.lit("")).alias("_text"))
     members = stored(digests(rows, width), "members")
     once = entries(rows, frequent(members), width, percent).dropDuplicates(["class"])
     classes = stored(once.withColumn("id", F.monotonically_increasing_id()), "classes")
@@ -404,10 +405,11 @@ def op7_jaccard(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    named = docs.withColumn("_name", F.struct(docs["doc_id"], F.xxhash64(*docs.columns).alias("h")))
-    found = near(named.select("_name", "text"), "_name")
-    kept = found.where(F.col("_name") == F.col("component_id")).select("_name").distinct()
-    return named.join(kept, "_name", "left_semi").dropDuplicates(["_name"]).drop("_name")
+    name = free_name(docs, "_name")
+    named = docs.withColumn(name, F.struct(quoted("doc_id").alias("id"), content_hash(docs).alias("h")))
+    found = near(named.select(name, "text"), name)
+    kept = found.where(F.col(name) == F.col("component_id")).select(name).distinct()
+    return named.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 QUERIES = {"op7_jaccard": op7_jaccard}

@@ -20,13 +20,14 @@ through under any name; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prairie.llm.columns import SPACES, ascii_lower
+from prairie.llm.columns import SPACES, ascii_lower, quoted, whole
 from prairie.session import fresh_path, stored, table
 
 LEAST_DOCS = 5
@@ -117,7 +118,11 @@ def _kept(lines: Column, drops: Column) -> Column:
 
 
 class LineStore:
-    """References, drop set and filters of the documents inserted so far, under ``path``."""
+    """References, drop set and filters of the documents inserted so far, under ``path``.
+
+    A change writes its references, then the new drop set, then the filters; with these it is
+    done. :meth:`open` goes on from the last change that was done, in any later job.
+    """
 
     def __init__(
         self,
@@ -130,78 +135,125 @@ class LineStore:
     ):
         self.spark, self.path = spark, path or fresh_path(spark, "lines")
         self.least_docs, self.least_chars, self.shards, self.slots = least_docs, least_chars, shards, slots
-        self.versions: list[str] = []
-        self.drops: DataFrame | None = None  # shard, key, n_docs, keeper
+        self.version = 0  # changes that are done
+        self.drops: DataFrame | None = None  # key, n_docs, keeper
         self.filters: dict[int, tuple[bytes, bool]] = {}
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> LineStore:
+        """The store at ``path`` as its last change left it."""
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/filters-*/_SUCCESS"))
+        last = max(int(f.getPath().getParent().getName().rsplit("-", 1)[1]) for f in done)
+        made = spark.read.parquet(f"{path}/filters-{last}")
+        rows = made.collect()  # ``shards`` rows and the settings
+        head = next(r for r in rows if r.shard < 0)
+        store = cls(spark, path, *head.settings)
+        store.version, store.drops = last + 1, spark.read.parquet(f"{path}/drops-{last}")
+        store.filters = {r.shard: (bytes(r.cells), r.full) for r in rows if r.shard >= 0}
+        return store
+
     def keys(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """(key, doc) of the long lines of each row, each once."""
-        lines = F.filter(F.transform(_lines(docs[text]), _key), lambda k: F.length(k) >= self.least_chars)
+        lines = F.filter(F.transform(_lines(quoted(text)), _key), lambda k: F.length(k) >= self.least_chars)
         found = F.array_distinct(F.transform(lines, _digest))
-        return docs.select(_doc(docs[key]).alias("doc"), F.explode(found).alias("key")).select("key", "doc")
+        return docs.select(_doc(quoted(key)).alias("doc"), F.explode(found).alias("key")).select("key", "doc")
 
     def insert(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Add the documents; returns their line keys, as written."""
         return self._change(self.keys(docs, key, text), 1)
 
     def delete(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """Take out documents that were inserted before, as they were then."""
+        """Take out documents that were inserted before, as they were then; others change nothing."""
         return self._change(self.keys(docs, key, text), -1)
 
+    def _refs(self, version: int) -> DataFrame:
+        rows = self.spark.read.parquet(f"{self.path}/refs-{version}")
+        return rows.withColumn("version", F.lit(version))
+
     def _change(self, keys: DataFrame, sign: int) -> DataFrame:
-        path = f"{self.path}/refs-{len(self.versions)}"
-        keys.withColumn("n", F.lit(sign)).write.option("compression", "zstd").parquet(path)
+        now, path = self.version, f"{self.path}/refs-{self.version}"
+        keys.withColumn("n", F.lit(sign)).write.mode("overwrite").option("compression", "zstd").parquet(path)
         delta = self.spark.read.parquet(path)
-        earlier = self.versions
-        self.versions = [*earlier, path]
-        refs = self.spark.read.parquet(*self.versions)
-        if earlier:  # only keys that this change touches can change their count
+        if now:  # only keys that this change touches can change their count
             touched = stored(delta.select("key").distinct(), "touched")
-            refs = refs.join(touched, "key", "left_semi")
-        held = refs.groupBy("key", "doc").agg(F.sum("n").alias("n")).where("n > 0")
+            every = reduce(DataFrame.unionByName, (self._refs(v) for v in range(now + 1))).join(touched, "key", "left_semi")
+            each = every.groupBy("key", "doc", "version").agg(F.sum("n").alias("n"))
+            # In the order of the changes; what is not there cannot be taken out.
+            changes = F.sort_array(F.collect_list(F.struct("version", "n")))
+            left = F.aggregate(changes, F.lit(0).cast("long"), lambda at, c: F.greatest(F.lit(0).cast("long"), at + c["n"]))
+            held = each.groupBy("key", "doc").agg(left.alias("n")).where("n > 0")
+        else:
+            held = delta.where("n > 0").select("key", "doc").distinct()
         counts = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
-        now = counts.where(F.col("n_docs") >= self.least_docs)
-        if earlier:
-            now = self.drops.join(touched, "key", "left_anti").unionByName(now)
-        now = stored(now, "drops")
-        change = now.select("key", F.lit(1).alias("sign"))
-        if earlier:
+        drops = counts.where(F.col("n_docs") >= self.least_docs)
+        if now:
+            drops = self.drops.join(touched, "key", "left_anti").unionByName(drops)
+        drops.write.mode("overwrite").parquet(f"{self.path}/drops-{now}")
+        drops = self.spark.read.schema(drops.schema).parquet(f"{self.path}/drops-{now}")
+        change = drops.select("key", F.lit(1).alias("sign"))
+        if now:
             old = self.drops
-            change = change.join(old, "key", "left_anti").unionByName(
-                old.join(now, "key", "left_anti").select("key", F.lit(-1).alias("sign"))
-            )
-        self.drops = now
-        self._refilter(change)
+            change = change.join(old, "key", "left_anti").unionByName(old.join(drops, "key", "left_anti").select("key", F.lit(-1).alias("sign")))
+        self._refilter(change, drops)
+        self.drops, self.version = drops, now + 1
         return delta.select("key", "doc")
 
-    def _refilter(self, change: DataFrame) -> None:
-        """Bring the filters of the shards up to date; one task for each shard that changes."""
-        shards, slots, filters = self.shards, self.slots, self.filters
-
-        def run(group: pd.DataFrame) -> pd.DataFrame:
-            shard = int(group["shard"].iloc[0])
-            cuckoo = Cuckoo(slots, *filters.get(shard, (None, False)))
-            signs = group["sign"].to_numpy()
-            places = np.stack(cuckoo.places(_numbers(group["key"]), shards), 1).tolist()
-            for place, sign in sorted(zip(places, signs.tolist())):
-                if sign < 0:
-                    cuckoo.remove(*place)
-            for place, sign in sorted(zip(places, signs.tolist())):
-                if sign > 0 and not cuckoo.full:
-                    cuckoo.add(*place)
-            return pd.DataFrame({"shard": [shard], "cells": [cuckoo.blob()], "full": [cuckoo.full]})
-
-        numbered = change.mapInPandas(
-            lambda batches: (
-                pd.DataFrame({"shard": (_numbers(b["key"])[:, 0] % np.uint64(shards)).astype(np.int32), "key": b["key"], "sign": b["sign"]})
-                for b in batches
-                if len(b)
-            ),
-            "shard int, key binary, sign int",
-        )
-        made = numbered.groupBy("shard").applyInPandas(run, "shard int, cells binary, full boolean")
+    def _refilter(self, change: DataFrame, drops: DataFrame) -> None:
+        """Bring the filters up to date. A shard's keys are streamed, those to take out first.
+
+        A filter that was full is made anew, as keys may have gone that it never held.
+        """
+        shards, slots = self.shards, self.slots
+        full = [s for s, (_, f) in self.filters.items() if f]
+        filters = {s: f for s, f in self.filters.items() if s not in full}
+
+        def numbered(rows: DataFrame) -> DataFrame:
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for b in batches:
+                    if len(b):
+                        yield pd.DataFrame({"shard": (_numbers(b["key"])[:, 0] % np.uint64(shards)).astype(np.int32), "key": b["key"], "sign": b["sign"]})
+
+            return rows.mapInPandas(run, "shard int, key binary, sign int")
+
+        rows = numbered(change)
+        if full:
+            anew = numbered(drops.select("key", F.lit(1).alias("sign"))).where(F.col("shard").isin(full))
+            rows = rows.where(~F.col("shard").isin(full)).unionByName(anew)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            shard, cuckoo = None, None
+
+            def done() -> pd.DataFrame:
+                return pd.DataFrame({"shard": [shard], "cells": [cuckoo.blob()], "full": [cuckoo.full]})
+
+            for batch in batches:
+                for s, part in batch.groupby("shard", sort=True):
+                    if s != shard:
+                        if cuckoo:
+                            yield done()
+                        shard, cuckoo = int(s), Cuckoo(slots, *filters.get(int(s), (None, False)))
+                    if cuckoo.full:
+                        continue
+                    places = np.stack(cuckoo.places(_numbers(part["key"]), shards), 1).tolist()
+                    for place, sign in zip(places, part["sign"].tolist()):
+                        if sign < 0:
+                            cuckoo.remove(*place)
+                        elif not cuckoo.full:
+                            cuckoo.add(*place)
+            if cuckoo:
+                yield done()
+
+        ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "sign", "key")
+        made = ordered.mapInPandas(run, "shard int, cells binary, full boolean")
         # At most ``shards`` rows of ``2 * slots`` bytes.
-        self.filters = filters | {r.shard: (bytes(r.cells), r.full) for r in made.collect()}
+        empty = (Cuckoo(slots).blob(), False)
+        self.filters = filters | {s: empty for s in full} | {r.shard: (bytes(r.cells), r.full) for r in made.collect()}
+        settings = [self.least_docs, self.least_chars, shards, slots]
+        kept = [(-1, None, None, settings), *((s, cells, f, None) for s, (cells, f) in self.filters.items())]
+        table_ = self.spark.createDataFrame(kept, "shard int, cells binary, full boolean, settings array<int>")
+        table_.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/filters-{self.version}")
 
     def candidates(self, keys: DataFrame) -> DataFrame:
         """Those of the (key, doc) rows that a filter does not rule out."""
@@ -237,7 +289,7 @@ class LineStore:
         ``keys`` are the line keys of the same documents, where they are at hand.
         """
         lost = self.lost(self.keys(docs, key, text) if keys is None else keys)
-        rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].alias("_text"), _doc(docs[key]).alias("doc"))
+        rows = docs.select(whole(docs).alias("row"), quoted(text).alias("_text"), _doc(quoted(key)).alias("doc"))
         joined = rows.join(lost, "doc", "left").select("row", "_text", "drops")
         lines = F.when(F.col("drops").isNull(), _lines(F.col("_text"))).otherwise(_kept(_lines(F.col("_text")), F.col("drops")))
         n_lines = F.size(_lines(F.col("_text"))).cast("long")
@@ -262,7 +314,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that the store drops."""
     kept = dedup(docs)
     new = {"text": F.when(F.col("row.text").isNotNull(), F.col("kept")), "n_chars": F.length("kept").cast("long")}
-    return kept.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+    return kept.select(*((new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 QUERIES = {"op5_lines": op5_lines}

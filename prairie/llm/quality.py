@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prairie.llm.columns import let, words
+from prairie.llm.columns import let, quoted, whole, words
 from prairie.session import table
 
 SYMBOLS = "#*$%&|<>"
@@ -192,7 +192,7 @@ def ablation_report(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the newest policy, with all their columns."""
-    named = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs["text"].alias("_text"))
+    named = docs.select(whole(docs).alias("_row"), quoted("text").alias("_text"))
     # A number that is made row by row keeps the filter above the measurements: pushed below,
     # it would make the word list again for each use.
     rows = ledger(named, "_row", "_text").withColumn("_number", F.monotonically_increasing_id())

@@ -6,7 +6,8 @@ probability. Filters are linear in the embeddings, so that scoring a text needs,
 hashed word, only its answer to each row of each filter: a table that is made once.
 
 The classifier is fitted in the driver on at most ``FIT_ROWS`` labelled rows (whole texts),
-half of them of either label as far as there are so many, chosen by a hash of the id.
+half of them of either label as far as there are so many, chosen by a hash of the id, and
+on at most ``FIT_BYTES`` of text: texts that do not fit in any more are left out, not cut.
 Labels come only from rows that are not held out. A threshold for each language
 is then calibrated on the scores of all labelled rows that are not held out, whether fitted
 or not, from counts by language and bin of the score; the score itself never sees a language.
@@ -30,10 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prairie.llm.batches import add_columns
-from prairie.llm.columns import held_out
+from prairie.llm.columns import held_out, quoted
 from prairie.session import stored, table
 
 FIT_ROWS = 4000
+FIT_BYTES = 64 << 20
 BUCKETS = 1 << 22  # of the word hash; only buckets met while fitting have an embedding
 LEAST_ROWS = 2  # fitted rows that a bucket must occur in
 STEM = 5  # bytes of a word that are hashed as its stem
@@ -124,6 +126,35 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+@dataclass
+class Gradients:
+    """Of the mean cross entropy of some texts."""
+
+    embedding: np.ndarray
+    filters: dict[int, np.ndarray]
+    bias: dict[int, np.ndarray]
+    dense: np.ndarray
+    offset: float
+
+
+def gradients(model: Model, flat: np.ndarray, pooled: np.ndarray, places: list[np.ndarray], p: np.ndarray, y: np.ndarray) -> Gradients:
+    """Only the pooled places pass the gradient on. The filters of a step see the words before it."""
+    dz = (p - y) / len(y)
+    d_pooled = np.outer(dz, model.dense) * (pooled > 0)
+    out = Gradients(np.zeros_like(model.embedding), {}, {}, np.maximum(pooled, 0).T @ dz, dz.sum())
+    for j, w in enumerate(WIDTHS):
+        d = d_pooled[:, j * FILTERS : (j + 1) * FILTERS].astype(np.float32)
+        out.filters[w] = np.zeros_like(model.filters[w])
+        for i in range(w):
+            words = flat[np.minimum(places[j] + i, len(flat) - 1)]  # texts x filters x 2
+            seen = model.embedding[words].sum(2)  # texts x filters x embedding
+            out.filters[w][i] = np.einsum("tf,tfe->ef", d, seen)
+            for column in (0, 1):
+                np.add.at(out.embedding, words[:, :, column], d[:, :, None] * model.filters[w][i].T[None])
+        out.bias[w] = d.sum(0)
+    return out
+
+
 def _blank(constant: float) -> Model:
     return Model({}, np.zeros((1, 1)), {}, {}, np.zeros(1), 0.0, constant)
 
@@ -172,24 +203,13 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Model:
             own = Model(rows, model.embedding[used], model.filters, model.bias, model.dense, model.offset)
             pooled, places = own.pooled(flat, starts, own.tables(), places=True)
             p = own.score(pooled)
-            dz = (p - y[some]) / len(some)
-            active = np.maximum(pooled, 0)
-            d_dense = active.T @ dz + 1e-4 * model.dense
-            d_pooled = np.outer(dz, model.dense) * (pooled > 0)
-            d_embedding = np.zeros_like(own.embedding)
-            for j, w in enumerate(WIDTHS):
-                d = d_pooled[:, j * FILTERS : (j + 1) * FILTERS].astype(np.float32)
-                d_filter = np.zeros_like(model.filters[w])
-                for i in range(w):
-                    words = flat[np.minimum(places[j] + i, len(flat) - 1)]  # texts x filters x 2
-                    seen = own.embedding[words].sum(2)  # texts x filters x embedding
-                    d_filter[i] = np.einsum("tf,tfe->ef", d, seen)
-                    for column in (0, 1):
-                        np.add.at(d_embedding, words[:, :, column], d[:, :, None] * model.filters[w][i].T[None])
-                model.filters[w] = adam(("f", w), model.filters[w], d_filter + 1e-4 * model.filters[w], rate).astype(np.float32)
-                model.bias[w] = adam(("b", w), model.bias[w], d.sum(0), rate).astype(np.float32)
+            g = gradients(own, flat, pooled, places, p, y[some])
+            for w in WIDTHS:
+                model.filters[w] = adam(("f", w), model.filters[w], g.filters[w] + 1e-4 * model.filters[w], rate).astype(np.float32)
+                model.bias[w] = adam(("b", w), model.bias[w], g.bias[w], rate).astype(np.float32)
+            d_dense, d_offset, d_embedding = g.dense + 1e-4 * model.dense, g.offset, g.embedding
             model.dense = adam("d", model.dense, d_dense, rate).astype(np.float32)
-            model.offset = float(adam("o", model.offset, dz.sum(), rate))
+            model.offset = float(adam("o", model.offset, d_offset, rate))
             # Embeddings take a normalised step for the words of the batch only.
             norm = np.sqrt((d_embedding**2).mean(1, keepdims=True)) + 1e-8
             touched = norm[:, 0] > 1e-7
@@ -247,16 +267,23 @@ def labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
     return known.where(~held_out(F.col("_id"), CHECKED_PARTS, CHECKED_REST) & F.col("_y").isin(0, 1))
 
 
-def sample(docs: DataFrame, known: DataFrame, key: str, text: str, rows: int) -> list:
-    """At most ``rows`` of the labelled rows, up to half of them toxic."""
+def sample(docs: DataFrame, known: DataFrame, key: str, text: str, rows: int, size: int = FIT_BYTES) -> list:
+    """At most ``rows`` of the labelled rows and ``size`` bytes of their texts, up to half of them toxic."""
     picked = None
     for y in (0, 1):
         some = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(rows // 2)
         picked = some if picked is None else picked.unionByName(some)
-    texts = docs.select(docs[key].alias("_id"), F.coalesce(docs[text], F.lit("")).alias("_t"))
+    texts = docs.select(quoted(key).alias("_id"), F.coalesce(quoted(text), F.lit("")).alias("_t"))
     # ``rows`` narrow rows at most: a bounded broadcast.
     joined = texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(F.min(F.struct("_t", "_y")).alias("s"))
-    return [r.s for r in joined.orderBy("_id").collect()]
+    written = stored(joined.select("_id", "s.*", F.xxhash64("_id").alias("_h")), "sample")
+    left, taken = size, []
+    for r in written.select("_id", "_h", F.octet_length("_t").alias("n")).orderBy("_h", "_id").collect():
+        if r["n"] <= left:
+            taken.append((r["_id"],))
+            left -= r["n"]
+    kept = docs.sparkSession.createDataFrame(taken, written.select("_id").schema)
+    return written.join(F.broadcast(kept), "_id").orderBy("_id").select("_t", "_y").collect()
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -280,7 +307,7 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         return make
 
     scored = add_columns(
-        docs.select(docs[key].alias("_key"), docs[text].alias("_text"), docs[lang].alias("_lang")), "score double", begin, drop=("_text",)
+        docs.select(quoted(key).alias("_key"), quoted(text).alias("_text"), quoted(lang).alias("_lang")), "score double", begin, drop=("_text",)
     )
     scored = stored(scored, "scores")
     limits = calibrate(scored, known)
