@@ -31,27 +31,34 @@ def not_in(df: DataFrame, key: str, listed: DataFrame, item: str) -> DataFrame:
     return left.where((F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())).select(*df.columns)
 
 
+def _alike(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """A join on ``key`` in which null is a value as in a grouping."""
+    other = right.withColumnRenamed(key, "_other")
+    return left.join(other, F.col(key).eqNullSafe(F.col("_other")), how).drop("_other")
+
+
 def divide(pairs: DataFrame, key: str, item: str, divisor: DataFrame, candidates: DataFrame | None = None, mode: str = "forall") -> DataFrame:
     """Keys that are paired with every row of ``divisor`` (a column ``item``).
 
     With an empty divisor ``forall`` gives all candidates, ``difference`` none. Counting the
-    matched items needs no product of keys and items.
+    matched items needs no product of keys and items. A null key is a key, a null item an item.
     """
     wanted = divisor.select(item).distinct()
     total = wanted.agg(F.count("*").alias("_total"))
-    matched = pairs.select(key, item).distinct().join(wanted, item, "left_semi").groupBy(key).agg(F.count("*").alias("_n"))
+    matched = _alike(pairs.select(key, item).distinct(), wanted, item, "left_semi").groupBy(key).agg(F.count("*").alias("_n"))
     own = (candidates if candidates is not None else pairs).select(key).distinct()
-    found = with_scalar(own.join(matched, key, "left"), total).where(F.coalesce("_n", F.lit(0)) == F.col("_total"))
+    found = with_scalar(_alike(own, matched, key, "left"), total).where(F.coalesce("_n", F.lit(0)) == F.col("_total"))
     return (found.where("_total > 0") if mode == "difference" else found).select(key)
 
 
 def jaccard_to(pairs: DataFrame, key: str, item: str, who) -> DataFrame:
-    """Similarity of each other key's set of items to that of ``who``."""
+    """Similarity of each other key's set of items to that of ``who``; null is a key and an item."""
     sets = pairs.select(key, item).distinct()
-    own = sets.where(F.col(key) == who).select(item)
-    sizes = sets.where(F.col(key) != who).groupBy(key).agg(F.count("*").alias("n"))
-    shared = sets.where(F.col(key) != who).join(own, item, "left_semi").groupBy(key).agg(F.count("*").alias("shared"))
-    each = with_scalar(sizes.join(shared, key, "left"), own.agg(F.count("*").alias("m")))
+    same = F.col(key).eqNullSafe(F.lit(who))
+    own, others = sets.where(same).select(item), sets.where(~same)
+    sizes = others.groupBy(key).agg(F.count("*").alias("n"))
+    shared = _alike(others, own, item, "left_semi").groupBy(key).agg(F.count("*").alias("shared"))
+    each = with_scalar(_alike(sizes, shared, key, "left"), own.agg(F.count("*").alias("m")))
     both = F.coalesce("shared", F.lit(0)).cast("double")
     return each.select(key, (both / (F.col("n") + F.col("m") - F.coalesce("shared", F.lit(0)))).alias("similarity"))
 
@@ -66,12 +73,12 @@ def share_of_total(df: DataFrame, *by: str | Column) -> DataFrame:
 def two_distinct_counts(df: DataFrame, key: str, a: str, b: str) -> DataFrame:
     """``n_a`` and ``n_b`` distinct non-null values for each key; each pair is counted apart.
 
-    One aggregate of two distinct counts would expand every row.
+    One aggregate of two distinct counts would expand every row. A null key is a key.
     """
     keys = df.select(key).distinct()
     for name, column in (("n_a", a), ("n_b", b)):
         counted = df.select(key, column).distinct().groupBy(key).agg(F.count(column).alias(name))
-        keys = keys.join(counted, key)
+        keys = _alike(keys, counted, key, "inner")
     return keys
 
 

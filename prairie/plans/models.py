@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from prairie.functions.scalars import prefix_label, sigmoid, snippet
-from prairie.functions.text import words_ascii
+from prairie.functions.text import words_ascii, words_lowered
 from prairie.operators import features
 from prairie.operators import models as m
 from prairie.operators import neighbours as nb
@@ -116,6 +116,23 @@ def moments(s, d, by=None):
     return m.line_moments(T(s, d, "lineitem"), "l_quantity", "l_extendedprice", by)
 
 
+def text_line(s, d):
+    """Words of each document, and its characters: a line, nearly."""
+    return T(s, d, "documents").select(F.size(words_lowered("text")).cast("double").alias("x"), F.col("n_chars").cast("double").alias("y"))
+
+
+def text_conditionals(s, d):
+    rows = m.line_conditionals(m.line_moments(text_line(s, d), "x", "y"), 6.0, 0.0, 200.0)
+    digits = {"shape": 3, "scale": 0, "c_mean": 4, "c_var": 4, "m_mean": 4, "m_var": 8}
+    return rows.select(*(F.round(c, n).alias(c) for c, n in digits.items()))
+
+
+def mixture_rounds(s, d):
+    """Three rounds of the mixture."""
+    rounds = m.binomial_em(trials(s, d), "heads", "flips", rounds=3)
+    return s.createDataFrame([(i + 1, round(a, 9), round(b, 9)) for i, (a, b) in enumerate(rounds)], "round long, a double, b double")
+
+
 def conditionals(s, d):
     rows = m.line_conditionals(moments(s, d, ["l_returnflag"]), 1500.0, 100.0, 20000.0)
     digits = {"shape": 3, "scale": 0, "c_mean": 4, "c_var": 4, "m_mean": 4, "m_var": 6}
@@ -160,6 +177,10 @@ QUERIES = {
     "g15_line_mse": lambda s, d: m.line_mse(T(s, d, "lineitem"), "l_quantity", "l_extendedprice", 1500.0, 100.0).select(F.round("mse", 1).alias("mse")),
     "g16_line_moments": moments,
     "c16_line_conditionals": conditionals,
+    "g15_text_mse": lambda s, d: m.line_mse(text_line(s, d), "x", "y", 6.0, 0.0).select(F.round("mse", 1).alias("mse")),
+    "g16_text_moments": lambda s, d: m.line_moments(text_line(s, d), "x", "y"),
+    "c16_text_conditionals": text_conditionals,
+    "c17_three_rounds": mixture_rounds,
     "g17_mixture_sums": mixture_sums,
     "c17_binomial_em": mixture,
 }
@@ -183,6 +204,10 @@ _CO = f"(SELECT x.l_partkey AS a, y.l_partkey AS b, count(*) AS n FROM {_SETS} x
 _M = """SELECT {} count(*) AS n, sum(x)::DOUBLE AS sx, sum(y)::DOUBLE AS sy, sum(x * x)::DOUBLE AS sxx, sum(x * y)::DOUBLE AS sxy, sum(y * y)::DOUBLE AS syy
   FROM (SELECT l_returnflag, l_quantity::DECIMAL(30,4) AS x, l_extendedprice::DECIMAL(30,4) AS y FROM lineitem)"""
 _PMF = "exp(coalesce(list_sum(list_transform(range(1, least(heads, flips - heads) + 1), lambda i: ln((flips - least(heads, flips - heads) + i) / i))), 0) + heads * ln({0}::DOUBLE) + (flips - heads) * ln(1 - {0}::DOUBLE))"
+_TEXT = "(SELECT len(regexp_extract_all(lower(text), '[a-z]+'))::DOUBLE AS x, n_chars::DOUBLE AS y FROM documents)"
+_TEXT_M = f"(SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy FROM {_TEXT})"
+_ROUND = f"""r{{1}} AS MATERIALIZED (SELECT sum(p / (p + q) * heads) / sum(p / (p + q) * flips) AS a, sum(q / (p + q) * heads) / sum(q / (p + q) * flips) AS b
+  FROM (SELECT heads, flips, {_PMF.format('a').replace('a::DOUBLE', 'a')} AS p, {_PMF.format('b').replace('b::DOUBLE', 'b')} AS q FROM t, r{{0}}))"""
 SQL = {
     "g11_gradient": f"{pv._WITH} SELECT idx, round(sum((0.5 - (lang = 'fr')::INT) * cnt)::DOUBLE, 6) AS total FROM l JOIN documents USING (doc_id) GROUP BY 1 HAVING sum((0.5 - (lang = 'fr')::INT) * cnt) <> 0 UNION ALL SELECT -1, round(count(*) * ln(2.0::DOUBLE), 6) FROM documents UNION ALL SELECT -2, count(*)::DOUBLE FROM documents",
     "g14_confusion": f"SELECT * FROM {_CONFUSION}",
@@ -202,6 +227,14 @@ SQL = {
 SELECT l_returnflag, round(10 + n / 2, 3) AS shape, round(1 + (1e4::DOUBLE * n + 2250000.0::DOUBLE * sxx + syy + 300000.0::DOUBLE * sx - 200 * sy - 3000 * sxy) / 2, 0) AS scale,
   round(vc * (50.0::DOUBLE / 1e4::DOUBLE + (sy - 1500 * sx) / 4e8::DOUBLE), 4) AS c_mean, round(vc, 4) AS c_var,
   round(vm * (5.0::DOUBLE / 1e2::DOUBLE + (sxy - 100 * sx) / 4e8::DOUBLE), 4) AS m_mean, round(vm, 6) AS m_var FROM v""",
+    "g15_text_mse": f"SELECT round(avg((6 * x - y) ** 2), 1) AS mse FROM {_TEXT}",
+    "g16_text_moments": f"SELECT * FROM {_TEXT_M}",
+    "c16_text_conditionals": f"""WITH v AS (SELECT *, 1 / (1 / 1e4::DOUBLE + n / 4e4::DOUBLE) AS vc, 1 / (1 / 1e2::DOUBLE + sxx / 4e4::DOUBLE) AS vm FROM {_TEXT_M})
+SELECT round(10 + n / 2, 3) AS shape, round(1 + (36 * sxx + syy - 12 * sxy) / 2, 0) AS scale, round(vc * (50.0::DOUBLE / 1e4::DOUBLE + (sy - 6 * sx) / 4e4::DOUBLE), 4) AS c_mean,
+  round(vc, 4) AS c_var, round(vm * (5.0::DOUBLE / 1e2::DOUBLE + sxy / 4e4::DOUBLE), 4) AS m_mean, round(vm, 8) AS m_var FROM v""",
+    "c17_three_rounds": f"""WITH t AS MATERIALIZED (SELECT count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS heads, count(*) AS flips FROM orders GROUP BY o_custkey),
+r0 AS (SELECT 0.79::DOUBLE AS a, 0.51::DOUBLE AS b), {', '.join(_ROUND.format(i, i + 1) for i in range(3))}
+SELECT 1 AS round, round(a, 9) AS a, round(b, 9) AS b FROM r1 UNION ALL SELECT 2, round(a, 9), round(b, 9) FROM r2 UNION ALL SELECT 3, round(a, 9), round(b, 9) FROM r3""",
     "g17_mixture_sums": f"""WITH t AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS heads, count(*) AS flips FROM orders GROUP BY 1),
 l AS (SELECT heads, flips, {_PMF.format(0.79)} AS a, {_PMF.format(0.51)} AS b FROM t)
 SELECT round(sum(a / (a + b) * heads), 6) AS heads_a, round(sum(a / (a + b) * flips), 6) AS flips_a, round(sum(b / (a + b) * heads), 6) AS heads_b, round(sum(b / (a + b) * flips), 6) AS flips_b FROM l""",

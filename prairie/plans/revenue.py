@@ -46,16 +46,28 @@ _SQL_BODY = f"(SELECT * FROM {_SQL_SCAN} WHERE lower(head) <> 'medallion' AND lo
 _SQL_CLEAN = f"(SELECT licence AS key, stamp[1:10] AS day, try_cast(total AS DOUBLE) AS amount FROM {_SQL_BODY} WHERE licence <> '' AND length(stamp) >= 10 AND try_cast(total AS DOUBLE) IS NOT NULL)"
 
 
+HEADS = {"head": "medallion", "licence": "hack_license", "total": "total_amount"}
+
+
+def clean_of(lines: DataFrame) -> DataFrame:
+    """The whole chain from lines to clean rows: fields, headers, dirty rows."""
+    return src.drop_dirty(src.drop_headers(src.scan_delimited(lines, FIELDS), HEADS), "licence", "stamp", "total")
+
+
+def revenue_of(lines: DataFrame) -> DataFrame:
+    return clean_of(lines).groupBy("day").agg(cents("amount").alias("revenue"))
+
+
 def scanned(spark, d):
     return src.scan_delimited(taxi_lines(spark, d), FIELDS)
 
 
 def without_headers(spark, d):
-    return src.drop_headers(scanned(spark, d), {"head": "medallion", "licence": "hack_license", "total": "total_amount"})
+    return src.drop_headers(scanned(spark, d), HEADS)
 
 
 def clean(spark, d):
-    return src.drop_dirty(without_headers(spark, d), "licence", "stamp", "total")
+    return clean_of(taxi_lines(spark, d))
 
 
 def cents(column):
@@ -64,7 +76,7 @@ def cents(column):
 
 
 def revenue_by_date(spark, d):
-    return clean(spark, d).groupBy("day").agg(cents("amount").alias("revenue"))
+    return revenue_of(taxi_lines(spark, d))
 
 
 def revenue_by_driver(spark, d):
@@ -108,9 +120,7 @@ def from_folder(spark, d):
     """Revenue per date of lines that lie in the files of a folder, each place of a line counted."""
     path = fresh_path(spark, "lines")
     taxi_lines(spark, d).repartition(6).write.text(path)
-    rows = src.scan_delimited(src.read_lines(spark, path), FIELDS)
-    rows = src.drop_headers(rows, {"head": "medallion", "licence": "hack_license", "total": "total_amount"})
-    return src.drop_dirty(rows, "licence", "stamp", "total").groupBy("day").agg(F.count("*").alias("lines"), cents("amount").alias("revenue"))
+    return clean_of(src.read_lines(spark, path)).groupBy("day").agg(F.count("*").alias("lines"), cents("amount").alias("revenue"))
 
 
 def from_part_files(spark, d):

@@ -100,3 +100,23 @@ def test_rounds_read_the_edges_where_they_lie(spark, sf_dir, monkeypatch):
     left = joined[: joined.index("FileScan")]
     assert "Exchange" not in left and "Bucketed: true" in plan
     assert step.count() == 200
+
+
+def test_null_is_a_key_and_an_item(spark):
+    from prairie.operators import relational
+
+    rows = [(1, "a"), (1, None), (None, "a"), (None, None), (2, "a"), (2, "a")]
+    df = spark.createDataFrame(rows, "k int, i string")
+    assert sorted((r.k or 0, r.n_a, r.n_b) for r in relational.two_distinct_counts(df, "k", "i", "i").collect()) == [(0, 1, 1), (1, 1, 1), (2, 1, 1)]
+    assert {r.k for r in relational.divide(df, "k", "i", df.select("i")).collect()} == {1, None}
+    assert {(r.k, r.similarity) for r in relational.jaccard_to(df, "k", "i", 1).collect()} == {(None, 1.0), (2, 0.5)}
+
+
+def test_queries_load_where_only_a_folder_is_left_of_llm(monkeypatch):
+    import importlib.util
+
+    import __spark_entry__ as entry
+
+    real = importlib.util.find_spec
+    monkeypatch.setattr(entry, "find_spec", lambda n: None if n == "prairie.llm.registry" else real(n))
+    assert entry._llm() == [] and "g6_revenue_by_date" in entry.queries()
