@@ -95,7 +95,7 @@ def encoded(docs: DataFrame, key: str, text: str, vocabulary: str, end: int, cur
     def begin():
         encoder = tokens.Encoder(vocabulary, end)
         width = int(encoder.dtype[2])
-        table_ = projection(1 << 8 * width if width == 2 else encoder.library.get_vocab_size()) if curve else None
+        table_ = projection(1 << 8 * width if width == 2 else encoder.size) if curve else None
 
         def make(batch: pa.RecordBatch) -> dict[str, list]:
             ids = encoder.encode([t or "" for t in batch.column("_text").to_pylist()])

@@ -21,8 +21,8 @@ from array import array
 
 import numpy as np
 
-CACHED = 300_000  # pieces of a generation, of which a worker remembers two
-LONGEST = 64  # characters of a piece that is remembered
+CACHED = 400_000  # words of a generation, behind a blank, of which a worker remembers two (and as many behind none)
+LONGEST = 64  # characters of a word that is remembered
 _MARKS = ".,;:!?*&$%#"
 _LATIN = "\u0250"  # the first character after the Latin ones
 _SAFE_NEWLINE = re.compile(r"(?<=\S)(\n)(?=\S)")
@@ -41,88 +41,111 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Library:
+    """The library's tokenizer, and its model for single words."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+        self.code = "H" if self.size <= 1 << 16 else "I"
+        self.ids = [array(self.code, [i]).tobytes() for i in range(self.size)]
+        self.table = _byte_characters()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenize = self.tokenizer.model.tokenize
+
+    def word(self, text: str) -> bytes:
+        """One word of the pattern, in the characters of the vocabulary."""
+        ids = self.ids
+        return b"".join([ids[t.id] for t in self.tokenize(text)])
+
+    def whole(self, text: str) -> bytes:
+        [found] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return array(self.code, found.ids).tobytes()
+
+
 class _Pieces(dict):
-    """Id bytes of pieces; a missing one is taken from the old generation, or encoded."""
+    """Id bytes of words behind a blank, or behind nothing; a missing one is taken from the old generation, or encoded."""
 
-    def __init__(self, library):
-        super().__init__({"": b""})
+    def __init__(self, library: _Library, before: str):
+        super().__init__()
+        self.library, self.before = library, before
+        self.shown = "".join(library.table[b] for b in before.encode())
         self.old: dict[str, bytes] = {}
-        self.code = "H" if library.get_vocab_size() <= 1 << 16 else "I"
-        self.ids = [array(self.code, [i]).tobytes() for i in range(library.get_vocab_size())]
-        self.table = _byte_characters()
-        self.library, self.tokenize = library, library.model.tokenize
+        self.marks: dict[str, bytes] = self  # words behind nothing
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = self.old.get(piece)
+    def __missing__(self, word: str) -> bytes:
+        raw = self.old.get(word)
         if raw is None:
-            raw = self.encoded(piece)
-        if len(piece) > LONGEST:
+            raw = self.encoded(word)
+        if len(word) > LONGEST:
             return raw
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
-            self[""] = b""
-        self[piece] = raw
+        self[word] = raw
         return raw
 
-    def encoded(self, piece: str) -> bytes:
-        head = piece.rstrip(_MARKS)
-        if max(piece) >= _LATIN:  # other scripts: what counts as a letter is left to the library
-            raw = self.whole(piece)
-        elif len(head) < len(piece) and head[-1:].isalpha() and len(head.split()) == 1:
-            # After a letter, a run of these marks is a word of its own.
-            raw = self[head] + self[piece[len(head) :]]
-        elif piece.isalpha() or piece[0] == " " and piece[1:].isalpha():  # one word of the pattern
-            ids = self.ids
-            raw = b"".join([ids[t.id] for t in self.tokenize(piece.encode().decode("latin-1").translate(self.table))])
-        else:
-            raw = self.whole(piece)
-        return raw
-
-    def whole(self, piece: str) -> bytes:
-        [found] = self.library.encode_batch_fast([piece], add_special_tokens=False)
-        return array(self.code, found.ids).tobytes()
-
-
-_HELD: dict[str, _Pieces] = {}  # of this process, by vocabulary
-
-
-def _pieces(path: str) -> _Pieces:
-    if path not in _HELD:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
-        from tokenizers import Tokenizer
-
-        _HELD[path] = _Pieces(Tokenizer.from_file(path))
-    return _HELD[path]
+    def encoded(self, word: str) -> bytes:
+        library = self.library
+        if word.isalpha():
+            if word.isascii():  # letters that the vocabulary writes as they are
+                return library.word(self.shown + word)
+            if max(word) < _LATIN:  # other scripts: what counts as a letter is left to the library
+                return library.word(self.shown + word.encode().decode("latin-1").translate(library.table))
+        elif word[-1] in _MARKS and (word.isascii() or max(word) < _LATIN):
+            head = word.rstrip(_MARKS)
+            if head[-1:].isalpha():  # after a letter, a run of these marks is a word of its own
+                return self[head] + self.marks[word[len(head) :]]
+        return library.whole(self.before + word)
+
+
+class _Worker:
+    """What a process remembers of a vocabulary."""
+
+    def __init__(self, path: str):
+        self.library = _Library(path)
+        self.first, self.spaced = _Pieces(self.library, ""), _Pieces(self.library, " ")
+        self.spaced.marks = self.first
+        self.newline = self.library.whole("\n")
+
+    def text(self, text: str) -> bytes:
+        """Ids of a text: of its words one by one, where single blanks and newlines are all that parts them."""
+        if not text:
+            return b""
+        lines = [line.split(" ") for line in text.split("\n")]
+        if sum(map(len, lines)) == len(text.split()) and not any("" in words for words in lines):
+            first, spaced = self.first.__getitem__, self.spaced.__getitem__
+            return self.newline.join([b"".join([first(words[0]), *map(spaced, words[1:])]) for words in lines])
+        parts = _SAFE_NEWLINE.split(text)
+        if len(parts) > 1:
+            return b"".join([self.newline if part == "\n" else self.text(part) for part in parts])
+        return self.library.whole(text)
+
+
+_HELD: dict[str, _Worker] = {}  # of this process, by vocabulary
 
 
 class Encoder:
     """``encode`` gives the ids of each text as bytes of ``dtype``, followed by those of ``end``."""
 
     def __init__(self, path: str, end: int):
-        self.cache = _pieces(path)
-        self.library = self.cache.library
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.dtype = "<u2" if self.cache.code == "H" else "<u4"
-        self.end = array(self.cache.code, [end]).tobytes()
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text in pieces that can be encoded alone."""
-        if "\1" not in text:
-            if " ".join(text.split()) == text.replace("\n", " "):
-                return text.replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
-            parts = _SAFE_NEWLINE.split(text)
-            if len(parts) > 1:
-                return [piece for part in parts for piece in (["\n"] if part == "\n" else Encoder.pieces(part))]
-        return [text]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        if path not in _HELD:
+            _HELD[path] = _Worker(path)
+        self.worker = _HELD[path]
+        library = self.worker.library
+        self.size = library.size
+        self.dtype = "<u2" if library.code == "H" else "<u4"
+        self.end = array(library.code, [end]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get, pieces, end, added, whole = self.cache.__getitem__, self.pieces, self.end, self.added, self.cache.whole
+        one, end, added, whole = self.worker.text, self.end, self.worker.library.added, self.worker.library.whole
         collecting = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
         try:
-            return [(whole(t) if any(a in t for a in added) else b"".join(map(get, pieces(t)))) + end for t in texts]
+            return [(whole(t) if any(a in t for a in added) else one(t)) + end for t in texts]
         finally:
             if collecting:
                 gc.enable()
