@@ -18,6 +18,7 @@ import gc
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -115,7 +116,7 @@ class _Worker:
         if not text:
             return b""
         lines = [line.split(" ") for line in text.split("\n")]
-        if sum(map(len, lines)) == len(text.split()) and not any("" in words for words in lines):
+        if text.split() == list(chain.from_iterable(lines)):
             first, spaced = self.first.__getitem__, self.spaced.__getitem__
             return self.newline.join([b"".join([first(words[0]), *map(spaced, words[1:])]) for words in lines])
         parts = _SAFE_NEWLINE.split(text)
