@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from prairie.llm.batches import add_columns
 from prairie.llm.columns import content_hash, free_name, quoted
 from prairie.operators.graph import components
-from prairie.session import stored, table
+from prairie.session import forget, store, stored, table
 
 SHINGLE = 5
 PERCENT = 80
@@ -213,8 +213,8 @@ def entries(rows: DataFrame, order: np.ndarray, width: int, percent: int) -> Dat
     return rows.select("_text").mapInArrow(run, "class binary, size int, parities binary, fine binary, prefix array<long>")
 
 
-def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(id, text) of the classes that occur in ``pairs``, each once.
+def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """(id, text) of the classes that occur in ``pairs``, each once, and where they are written.
 
     A bitmap of ``MARKS`` bits keeps most other texts out of the shuffle.
     """
@@ -236,7 +236,7 @@ def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["class", "text"])
 
     each = rows.select("_text").mapInArrow(run, "class binary, text binary")
-    return stored(each.join(wanted, "class").select("id", "text").dropDuplicates(["id"]), "texts")
+    return store(each.join(wanted, "class").select("id", "text").dropDuplicates(["id"]), "texts")
 
 
 def still_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -252,10 +252,14 @@ def still_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "x long, y long")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The (x, y) pairs of classes that link, by their whole sets; few that do not get as far as that."""
-    pairs = stored(still_near(pairs, classes, percent), "pairs")
-    texts = texts_of(rows, pairs, classes, width)
+def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int, used: list[str]) -> DataFrame:
+    """The (x, y) pairs of classes that link, by their whole sets; few that do not get as far as that.
+
+    ``used`` gets the paths of tables that nothing reads once the result is written.
+    """
+    pairs, pairs_path = store(still_near(pairs, classes, percent), "pairs")
+    texts, texts_path = texts_of(rows, pairs, classes, width)
+    used += [pairs_path, texts_path]
     own = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("a")), "x").join(
         texts.select(F.col("id").alias("y"), F.col("text").alias("b")), "y"
     )
@@ -377,12 +381,17 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     classes = stored(once.withColumn("id", F.monotonically_increasing_id()), "classes")
     each = classes.select("id", "size", F.posexplode("prefix").alias("pos", "hash"))
     counts = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(each.join(counts, "hash").select("hash", "id", "size", "pos", "n"), "shared")
-    first = stored(verified(hub_pairs(shared, percent), rows, classes, width, percent), "links")
-    roots = stored(components(first, "x", "y"), "roots")
-    second = verified(crossing_pairs(shared, classes, roots, percent), rows, classes, width, percent)
+    shared, path = store(each.join(counts, "hash").select("hash", "id", "size", "pos", "n"), "shared")
+    used = [path]
+    first, path = store(verified(hub_pairs(shared, percent), rows, classes, width, percent, used), "links")
+    roots, roots_path = store(components(first, "x", "y"), "roots")
+    used += [path, roots_path]
+    second = verified(crossing_pairs(shared, classes, roots, percent), rows, classes, width, percent, used)
     stars = roots.where("node <> root").select(F.col("node").alias("x"), F.col("root").alias("y"))
-    return members.select("_key", "class", "size"), classes.select("class", "id"), components(stars.union(second), "x", "y")
+    found = stored(components(stars.union(second), "x", "y"), "components")
+    for path in used:
+        forget(docs.sparkSession, path)
+    return members.select("_key", "class", "size"), classes.select("class", "id"), found
 
 
 def near(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
