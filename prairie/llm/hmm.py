@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prairie.llm.batches import add_columns
@@ -47,6 +47,7 @@ HASHED = 4096
 COMMON = 1_000_000
 LEAN = 1.0  # tokens added to each word's counts, spread as the states are taken
 UNIT = 1 << 30
+SHARE = (1 << 21) - 1  # steps of a state's share of a rarer word, as it is sent to texts
 PRIOR = 100.0  # tokens spread over the cells by their share, added to each state's counts
 BLOCK = 1 << 18  # tokens of windows that are held at a time
 HELD_PARTS, HELD_REST = 7, 2
@@ -361,6 +362,25 @@ def word_states(rows: DataFrame, model: Model, lex: Lexicon) -> DataFrame:
     return parts.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", *columns)))
 
 
+def _sides(states: int) -> list[Column]:
+    """The packed counts of a table of words, as integers."""
+    columns = [f"p{i}" for i in range(-(-states // 2))]
+    return [side for c in columns for side in (F.col(c).bitwiseAND(F.lit(2**31 - 1)), F.shiftright(c, 31))][:states]
+
+
+def shares(lex: Lexicon, states: int) -> list[Column]:
+    """What a rarer word sends to a text: its share of each state in steps of a ``SHARE``-th, three to a number."""
+    each = [F.floor(x / (UNIT / max(lex.rare_most, 1)) / F.col("n") * SHARE) for x in _sides(states)]
+    parts = [each[k : k + 3] for k in range(0, states, 3)]
+    return [sum((F.shiftleft(x, 21 * j) for j, x in enumerate(part[1:], 1)), part[0]).alias(f"q{k}") for k, part in enumerate(parts)]
+
+
+def from_shares(parts: list[np.ndarray], n: np.ndarray, states: int) -> np.ndarray:
+    """Counts (words x states) again."""
+    each = [p >> 21 * j & SHARE for p in parts for j in range(3)][:states]
+    return np.stack(each, 1) / SHARE * n[:, None]
+
+
 @dataclass
 class Emissions:
     """What turns a word's counts into its emission by each state."""
@@ -388,7 +408,7 @@ def emissions(table_: DataFrame, lex: Lexicon, states: int, share: int) -> Emiss
     for r in common.collect():  # at most ``share`` words
         i = lex.numbers[bytes(r["word"])]
         counts[i] = unpacked([np.array([r[c]]) for c in columns], UNIT / lex.n[i], states)[0]
-    sides = [side for c in columns for side in (F.col(c).bitwiseAND(F.lit(2**31 - 1)), F.shiftright(c, 31))][:states]
+    sides = _sides(states)
     unit = UNIT / max(lex.rare_most, 1)
     factor = (F.col("n") + 1.0) / (F.col("n") + LEAN)
     rare = table_.where(F.col("n") * share < lex.total)
@@ -427,10 +447,9 @@ def likelihood(rows: DataFrame, model: Model, lex: Lexicon, found: Emissions) ->
             items = known.flatten()
             if len(items):
                 sizes = pc.fill_null(pc.list_value_length(known), 0).to_numpy(zero_copy_only=False)
-                at = np.repeat(first, sizes) + items.field("i").to_numpy()
-                n = items.field("n").to_numpy()
-                counts = unpacked([items.field(f"p{k}").to_numpy() for k in range(-(-states // 2))], UNIT / lex.rare_most, states)
-                emit[at] = found.of(lex, n, counts)
+                place_and_n = items.field("at").to_numpy()
+                at, n = np.repeat(first, sizes) + (place_and_n >> 32), place_and_n & (2**32 - 1)
+                emit[at] = found.of(lex, n, from_shares([items.field(f"q{k}").to_numpy() for k in range(-(-states // 3))], n, states))
             lengths = np.array([len(r) // 2 for r in raw])
             whole = Model(model.start, model.move, emit)
             return {"score": log_likelihoods(whole, np.concatenate(flat), lengths.cumsum() - lengths, lengths) / np.log(10)}
@@ -463,11 +482,12 @@ def score(
     found = emissions(table_, lex, states, share)
     # Each pair of a document and one of its rarer words, once.
     pairs = coded.select("row", F.posexplode(F.arrays_zip("words", "times")).alias("i", "w")).select("row", "i", "w.words", "w.times")
-    columns = [c for c in table_.columns if c not in ("word", "n")]
-    known = pairs.withColumnRenamed("words", "word").join(table_, "word").groupBy("row").agg(
+    sent = table_.select("word", "n", *shares(lex, states))
+    place_and_n = (F.shiftleft(F.col("i").cast("long"), 32) + F.col("n")).alias("at")
+    known = pairs.withColumnRenamed("words", "word").join(sent, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare"),
         F.sum("times").alias("n_rare"),
-        F.collect_list(F.struct("i", "n", *columns)).alias("known"),
+        F.collect_list(F.struct(place_and_n, *sent.columns[2:])).alias("known"),
     )
     slim = coded.withColumn("n_words", F.size("words").cast("long")).drop("words", "times")
     each = likelihood(slim.join(known, "row", "left").na.fill({"rare": 0.0, "n_rare": 0}), model, lex, found)
