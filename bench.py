@@ -15,13 +15,12 @@ HEADLINES = (
 
 def main() -> None:
     from prairie import registry
-    from prairie.session import fresh_path, local_session
+    from prairie.session import fresh_path, local_session, name_shared_dir
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, int(cpus))
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", "/tmp/checkpoints")
+    name_shared_dir(spark, "/tmp/checkpoints")
     queries, seconds, warm = registry.queries(), {}, {}
     for name in HEADLINES:
         for taken in (seconds, warm):  # the second run has its code compiled
@@ -30,7 +29,6 @@ def main() -> None:
             taken[name] = round(time.time() - started, 3)
     # Rate of the registered chain, over lines that lie in files as they did for the recorded run.
     from prairie.plans import revenue
-    from prairie.sources import lines as src
 
     path = fresh_path(spark, "lines")
     revenue.taxi_lines(spark, sf_dir).repartition(4 * int(cpus)).write.text(path)

@@ -28,9 +28,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
     return spark
 
 
+OWN_DIR = "prairie.shared.dir"
+
+
+def name_shared_dir(spark: SparkSession, path: str) -> None:
+    """A folder for sessions whose cluster names none, as in tests; a running session cannot take that setting."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set(OWN_DIR, path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors can reach, as the cluster names it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return named.rstrip("/")

@@ -10,11 +10,10 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from prairie.session import local_session
+    from prairie.session import local_session, name_shared_dir
 
     session = local_session(8, 4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    name_shared_dir(session, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -120,3 +120,21 @@ def test_queries_load_where_only_a_folder_is_left_of_llm(monkeypatch):
     real = importlib.util.find_spec
     monkeypatch.setattr(entry, "find_spec", lambda n: None if n == "prairie.llm.registry" else real(n))
     assert entry._llm() == [] and "g6_revenue_by_date" in entry.queries()
+
+
+def test_own_folder_only_where_the_cluster_names_none():
+    from prairie import session
+
+    class Conf(dict):
+        get, set = dict.get, dict.__setitem__
+
+    class Spark:
+        def __init__(self, **conf):
+            self.conf = Conf(conf)
+
+    named, bare = Spark(**{"spark.checkpoint.dir": "/shared/"}), Spark()
+    for s in (named, bare):
+        session.name_shared_dir(s, "/own")
+    assert (session.shared_dir(named), session.shared_dir(bare)) == ("/shared", "/own")
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Spark())
