@@ -1,7 +1,8 @@
 """Products of a sparse table with itself: items that occur together, and Gram matrices.
 
-Work is cut into blocks, so that a heavy basket or a dense column is dealt over many tasks;
-sums are made where the rows are before they are shuffled.
+Only what shares a row meets. Work is cut into blocks, so that a heavy basket or a dense row is
+dealt over many tasks; the number of tasks follows the number of rows and of products, which
+bounds the memory of each. Sums are made where the products are before they are shuffled.
 
 Defined results: rows with a null key or item are left out; baskets are sets; entries of the same place
 are added; empty tables give no rows.
@@ -9,14 +10,37 @@ are added; empty tables give no rows.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prairie.session import stored
+
 BASKET = 256  # items of a basket that meet in one row
-ROWS = 1024  # of a row block of a Gram matrix
-COLUMNS = 512  # of a column block
+ENTRIES = 1 << 19  # rows of a task that makes the sets
+ROWS = 1024  # times COLUMNS: products of a task of a Gram matrix, about
+COLUMNS = 512  # entries of a row that meet in one piece
+
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` by their key, about ``ENTRIES`` to a task, however many there are in all."""
+    return rows.repartition(max(1, -(-rows.count() // ENTRIES)), key)
+
+
+def _met(sets: DataFrame, key: str, item: Column, spread: Column, size: int, products: int) -> DataFrame:
+    """``left``, ``right`` and ``same``: lists of items of one ``key`` that meet, about ``size`` each at most.
+
+    ``sets`` is dealt by ``key``. ``spread`` deals the items of a larger key into blocks; each pair of its
+    blocks is one row. The rows are dealt out so that a task has about ``products`` products.
+    """
+    n = F.count("*").over(Window.partitionBy(key))
+    sized = stored(sets.select(key, item.alias("item"), spread.alias("spread"), n.alias("n")), "sets")
+    total = sized.agg(F.coalesce(F.sum((F.col("n") + 1) / 2), F.lit(0.0))).first()[0]
+    blocks = F.ceil(F.col("n") / size).cast("int")
+    placed = sized.withColumn("mine", F.pmod("spread", blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    sides = placed.select(key, low.alias("p"), high.alias("q"), "mine", "item").repartition(max(1, int(-(-total // products))), key, "p", "q")
+    lists = sides.groupBy(key, "p", "q").agg(*(F.collect_list(F.when(F.col("mine") == F.col(side), F.col("item"))).alias(name) for side, name in (("p", "left"), ("q", "right"))))
+    return lists.select("left", "right", (F.col("p") == F.col("q")).alias("same"))
 
 
 def basket_blocks(baskets: DataFrame, key: str, item: str, size: int = BASKET) -> DataFrame:
@@ -49,34 +73,13 @@ def co_occurrence(baskets: DataFrame, key: str, item: str, symmetric: bool = Fal
 def gram(entries: DataFrame, row: str, column: str, value: str, rows: int = ROWS, columns: int = COLUMNS) -> DataFrame:
     """``a``, ``b``, ``v``: the product of the transposed matrix with itself, a <= b, zeros left out.
 
-    ``column`` is a number from 0. Rows are dealt into blocks by a hash, columns into ranges; each
-    pair of column blocks meets in each row block, where dense parts of bounded size are multiplied.
-    The parts of a place are added up over the row blocks.
+    Only entries that share a row meet, so the work is the sum of the rows' squared lengths, however
+    many columns there are. A row of more than ``columns`` entries is cut, and each pair of its cuts
+    is work of its own. A task has about ``rows * columns`` products, which it adds up by place.
     """
     own = entries.select(F.col(row).alias("r"), F.col(column).cast("long").alias("c"), F.col(value).cast("double").alias("v"))
-    own = own.where("r IS NOT NULL AND c IS NOT NULL AND v IS NOT NULL").withColumn("cb", F.expr(f"c DIV {columns}"))
-    blocks = max(1, -(-own.agg(F.approx_count_distinct("r")).first()[0] // rows))
-    own = own.withColumn("rb", F.pmod(F.xxhash64("r"), F.lit(blocks)).cast("int"))
-    # A row block's column blocks: as many as it has, each pair once.
-    present = own.groupBy("rb").agg(F.sort_array(F.collect_set("cb")).alias("all"))
-    dealt = own.join(present, "rb").withColumn("other", F.explode("all"))
-    dealt = dealt.select("rb", F.least("cb", "other").alias("p"), F.greatest("cb", "other").alias("q"), "r", "c", "v")
-
-    def multiply(key: tuple, part: pa.Table) -> pa.Table:
-        p, q = (k.as_py() for k in key[1:])
-        names, r = np.unique(part["r"].to_numpy(zero_copy_only=False), return_inverse=True)
-        c, v = part["c"].to_numpy(), part["v"].to_numpy()
-        sides = []
-        for block in (p, q):
-            at = c // columns == block
-            dense = np.zeros((len(names), columns))
-            np.add.at(dense, (r[at], c[at] - block * columns), v[at])
-            sides.append(dense)
-        product = sides[0].T @ sides[1]
-        if p == q:
-            product = np.triu(product)
-        i, j = np.nonzero(product)
-        return pa.table({"a": i + p * columns, "b": j + q * columns, "v": product[i, j]})
-
-    parts = dealt.groupBy("rb", "p", "q").applyInArrow(multiply, "a long, b long, v double")
-    return parts.groupBy("a", "b").agg(F.sum("v").alias("v")).where("v <> 0")
+    own = _dealt(own.where("r IS NOT NULL AND c IS NOT NULL AND v IS NOT NULL"), "r").groupBy("r", "c").agg(F.sum("v").alias("v"))
+    met = _met(own, "r", F.struct("c", "v"), F.xxhash64("c"), columns, rows * columns)
+    pairs = met.select("right", "same", F.explode("left").alias("x")).select("same", "x", F.explode("right").alias("y")).where("NOT same OR x.c <= y.c")
+    places = pairs.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), (F.col("x.v") * F.col("y.v")).alias("v"))
+    return places.groupBy("a", "b").agg(F.sum("v").alias("v")).where("v <> 0")

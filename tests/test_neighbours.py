@@ -137,3 +137,10 @@ def test_gram_of_ones_counts_what_occurs_together(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey", "l_partkey", "1.0D AS one").distinct()
     pairs = {(r.a, r.b): r.v for r in products.gram(lines, "l_orderkey", "l_partkey", "one").collect()}
     assert pairs == {(r.a, r.b): r.n for r in products.co_occurrence(lines, "l_orderkey", "l_partkey").collect()}
+
+
+def test_products_of_wide_sparse_rows_meet_in_their_rows_only(spark):
+    rows = [(i, 1_000_000 * i + j, float(j + 1)) for i in range(300) for j in range(4)]
+    df = spark.createDataFrame(rows, "r long, c long, v double").repartition(3)
+    got = {(r.a, r.b): r.v for r in products.gram(df, "r", "c", "v", 4, 8).collect()}  # dense column blocks: 300 ** 2 / 2 pairs, a million columns apart
+    assert got == {(1_000_000 * i + j, 1_000_000 * i + k): (j + 1.0) * (k + 1) for i in range(300) for j in range(4) for k in range(j, 4)}
