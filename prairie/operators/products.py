@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from prairie.session import stored
 
 BASKET = 256  # items of a basket that meet in one row
+PAIRS = 1 << 20  # of a task, about
 ENTRIES = 1 << 19  # rows of a task that makes the sets
 ROWS = 1024  # times COLUMNS: products of a task of a Gram matrix, about
 COLUMNS = 512  # entries of a row that meet in one piece
@@ -49,14 +50,8 @@ def basket_blocks(baskets: DataFrame, key: str, item: str, size: int = BASKET) -
     A basket of up to ``size`` items is one row, with the same list on both sides. A larger one
     is cut into blocks by a hash of the item, and each pair of its blocks is one row.
     """
-    sets = baskets.select(F.col(key).alias("key"), F.col(item).alias("item")).where("key IS NOT NULL AND item IS NOT NULL").distinct()
-    counts = sets.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
-    placed = sets.join(counts, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    sides = placed.select("key", low.alias("p"), high.alias("q"), "mine", "item").groupBy("key", "p", "q")
-    lists = sides.agg(*(F.collect_list(F.when(F.col("mine") == F.col(side), F.col("item"))).alias(name) for side, name in (("p", "left"), ("q", "right"))))
-    return lists.select("left", "right", (F.col("p") == F.col("q")).alias("same"))
+    sets = baskets.select(F.col(key).alias("key"), F.col(item).alias("item")).where("key IS NOT NULL AND item IS NOT NULL")
+    return _met(_dealt(sets, "key").distinct(), "key", F.col("item"), F.xxhash64("item"), size, PAIRS)
 
 
 def co_occurrence(baskets: DataFrame, key: str, item: str, symmetric: bool = False, size: int = BASKET) -> DataFrame:

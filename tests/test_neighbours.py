@@ -144,3 +144,14 @@ def test_products_of_wide_sparse_rows_meet_in_their_rows_only(spark):
     df = spark.createDataFrame(rows, "r long, c long, v double").repartition(3)
     got = {(r.a, r.b): r.v for r in products.gram(df, "r", "c", "v", 4, 8).collect()}  # dense column blocks: 300 ** 2 / 2 pairs, a million columns apart
     assert got == {(1_000_000 * i + j, 1_000_000 * i + k): (j + 1.0) * (k + 1) for i in range(300) for j in range(4) for k in range(j, 4)}
+
+
+def test_tasks_of_products_follow_their_number(spark, monkeypatch):
+    monkeypatch.setattr(products, "PAIRS", 64)
+    monkeypatch.setattr(products, "ENTRIES", 50)
+    rows = [(b, i, 0) for b in range(100) for i in range(b % 9 + 1)]
+    df = spark.createDataFrame(rows, BASKETS).coalesce(1)
+    want = Counter(p for b in range(100) for p in combinations_with_replacement(range(b % 9 + 1), 2))
+    blocks = products.basket_blocks(df, "basket", "item")
+    assert blocks.rdd.getNumPartitions() == -(-want.total() // 64)
+    assert {(r.a, r.b): r.n for r in products.co_occurrence(df, "basket", "item").collect()} == want
