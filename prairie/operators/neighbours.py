@@ -21,6 +21,8 @@ from prairie.operators.ranking import k_best
 from prairie.session import forget, store, stored
 
 BLOCK = 2048  # points of one side of a tile
+GROUPS = 48  # tasks that hold points while the others pass
+MOST = 1 << 17  # points of such a task, about
 PIVOTS = 1024  # groups of points at most; each is a vector that tasks and driver hold
 NORMS = 16  # buckets of sparse vectors by their norm
 SEEDS = 32  # vectors that are tried first for each query
@@ -221,71 +223,159 @@ def tile_pairs(points: DataFrame, key: str, vector: str, k: int) -> tuple[DataFr
     return blocks, pairs, pivots, groups
 
 
-def _nearest_of_blocks(tiles: DataFrame, kind: str, k: int, pivots: np.ndarray | None = None, radii: dict[int, float] | None = None) -> DataFrame:
+def _packed(blocks: DataFrame, name: str, single: bool) -> DataFrame:
+    """``name``, ``rows`` and ``vecs``: the points of each block as plain bytes; ``single``: vectors are of floats."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            rows, vecs = [], []
+            for points in batch.column("points"):
+                rows.append(points.values.field("row").to_numpy().tobytes())
+                vecs.append(_matrix(points.values.field("vec")).astype("<f4" if single else "<f8").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(name), pa.array(rows, pa.binary()), pa.array(vecs, pa.binary())], [name, "rows", "vecs"])
+
+    return blocks.select(name, "points").mapInArrow(run, f"{name} {blocks.schema[name].dataType.simpleString()}, rows binary, vecs binary")
+
+
+def _nearer(best: np.ndarray, far: np.ndarray) -> np.ndarray:
+    k = best.shape[1]
+    return np.partition(np.concatenate([best, far], 1), k - 1, 1)[:, :k]
+
+
+class _Own:
+    """Points of one group of blocks, and the k smallest distances of each so far."""
+
+    def __init__(self, parts: list[pa.Array], k: int):
+        self.keys = pa.concat_arrays([p.field("key") for p in parts])
+        self.rows = np.concatenate([p.field("row").to_numpy() for p in parts])
+        self.vecs = np.concatenate([_matrix(p.field("vec")) for p in parts])
+        self.best = np.full((len(self.rows), k), np.inf)
+        for i, near in enumerate(near for p in parts for near in p.field("near").to_pylist()):
+            self.best[i, : len(near)] = near
+        self.last = self.best.max(1)
+        self.squares = (self.vecs**2).sum(1)
+
+    def meet(self, at: np.ndarray, rows: np.ndarray, vecs: np.ndarray) -> None:
+        """Bring the points ``at`` up to date by other points."""
+        squares = (vecs**2).sum(1)
+        other = np.column_stack([-2 * vecs, np.ones(len(vecs)), squares]).T
+        for first in range(0, len(at), BLOCK):
+            part = at[first : first + BLOCK]
+            limit = self.last[part] ** 2
+            # One product: squared distance less the limit. What is below is looked at again, exactly.
+            gap = np.column_stack([self.vecs[part], self.squares[part] - limit, np.ones(len(part))]) @ other
+            near = gap < 1e-9 * (1 + self.squares[part])[:, None]
+            if np.count_nonzero(near) > near.size // 16:
+                far = _tile(self.vecs[part], vecs)
+                far[self.rows[part][:, None] == rows[None]] = np.inf  # not oneself
+                self.best[part] = _nearer(self.best[part], far)
+                self.last[part] = self.best[part].max(1)
+                continue
+            i, j = np.nonzero(near)
+            others = self.rows[part[i]] != rows[j]
+            i, j = i[others], j[others]
+            if not len(i):
+                continue
+            who, start, count = np.unique(i, return_index=True, return_counts=True)
+            far = np.full((len(who), count.max()), np.inf)
+            place = np.repeat(np.arange(len(who)), count)
+            far[place, np.arange(len(i)) - start[place]] = np.sqrt(((self.vecs[part[i]] - vecs[j]) ** 2).sum(1))
+            self.best[part[who]] = _nearer(self.best[part[who]], far)
+            self.last[part[who]] = self.best[part[who]].max(1)
+
+    def result(self) -> Batches:
+        for first in range(0, len(self.rows), BLOCK):
+            vecs, best = self.vecs[first : first + BLOCK], np.sort(self.best[first : first + BLOCK], 1)
+            made = [pa.array(list(vecs), pa.list_(pa.float64())), pa.array([x[np.isfinite(x)] for x in best], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(self.rows[first : first + BLOCK]), self.keys.slice(first, BLOCK), *made], ["row", "key", "vec", "near"])
+
+
+def _own_groups(n: int) -> int:
+    """Groups that ``n`` points meet the others in: a fixed number, so that each point is sent as often whatever ``n``."""
+    return max(1, min(GROUPS, -(-n // BLOCK)), -(-n // MOST))
+
+
+def _nearest_of_blocks(
+    own: DataFrame, others: DataFrame, kind: str, k: int, groups: int, single: bool, pivots: np.ndarray | None = None, radii: dict[int, float] | None = None
+) -> DataFrame:
     """``row``, ``key``, ``vec`` and ``near`` (the k smallest distances, ascending) of own points.
 
-    ``tiles`` has ``a`` (the block that a row is for), ``low`` (-1: own points, with the ``near``
-    found before; otherwise a bound from below), ``g`` (the pivot of the others) and ``points``.
-    A block's rows are read in the order of ``low``, and those too far off are passed over.
+    ``own`` has ``a`` (the group, from 0) and ``points``, with the ``near`` found before; ``others`` has
+    ``a``, ``low`` (a bound from below), ``g`` (the pivot of the others), ``rows`` and ``vecs``. A task has one
+    group and reads the others in the order of ``low``; those too far off are passed over.
     """
 
     def run(batches: Batches) -> Batches:
-        name, own, vecs, best = None, None, None, None
-
-        def done() -> pa.RecordBatch:
-            near = [x[np.isfinite(x)].tolist() for x in np.sort(best, 1)]
-            return pa.RecordBatch.from_arrays([*(own.field(c) for c in ("row", "key", "vec")), pa.array(near, pa.list_(pa.float64()))], ["row", "key", "vec", "near"])
-
+        parts, mine, group = [], None, None
         for batch in batches:
-            lows, gs, names = batch.column("low").to_pylist(), batch.column("g").to_pylist(), batch.column("a").to_pylist()
+            lows, gs, names = (batch.column(c).to_pylist() for c in ("low", "g", "a"))
             for i, low in enumerate(lows):
-                values = batch.column("points")[i].values
+                if names[i] != group:
+                    if parts or mine:
+                        yield from (mine or _Own(parts, k)).result()
+                    parts, mine, group = [], None, names[i]
                 if low < 0:
-                    if own is not None:
-                        yield done()
-                    name, own, vecs = names[i], values, _matrix(values.field("vec"))
-                    best = np.full((len(vecs), k), np.inf)
-                    for j, near in enumerate(values.field("near").to_pylist()):
-                        best[j, : len(near)] = near
-                    rows = values.field("row").to_numpy()
+                    parts.append(batch.column("points")[i].values)
                     continue
-                assert names[i] == name
-                last = best.max(1)
-                at = np.flatnonzero(last >= low - SLACK)
+                if not parts and mine is None:
+                    continue  # a group without own points
+                if mine is None:
+                    mine, parts = _Own(parts, k), []
+                at = np.flatnonzero(mine.last >= low - SLACK)
                 if pivots is not None and len(at):  # points that the group can still bring a neighbour
-                    at = at[_tile(vecs[at], pivots[gs[i]][None])[:, 0] - radii[gs[i]] <= last[at] + SLACK]
-                if not len(at):
-                    continue
-                far = _tile(vecs[at], _matrix(values.field("vec")))
-                far[rows[at][:, None] == values.field("row").to_numpy()[None]] = np.inf  # not oneself
-                best[at] = np.partition(np.concatenate([best[at], far], 1), k - 1, 1)[:, :k]
-        if own is not None:
-            yield done()
+                    at = at[_tile(mine.vecs[at], pivots[gs[i]][None])[:, 0] - radii[gs[i]] <= mine.last[at] + SLACK]
+                if len(at):
+                    rows = np.frombuffer(batch.column("rows")[i].as_py(), "<i8")
+                    vecs = np.frombuffer(batch.column("vecs")[i].as_py(), "<f4" if single else "<f8").astype(float)
+                    mine.meet(at, rows, vecs.reshape(len(rows), -1))
+        if parts or mine:
+            yield from (mine or _Own(parts, k)).result()
 
-    ordered = tiles.repartition("a").sortWithinPartitions("a", "low")
-    return ordered.select("a", "low", "g", "points").mapInArrow(run, f"row long, key {kind}, vec array<double>, near array<double>")
+    first = own.select("a", F.lit(-1.0).alias("low"), F.lit(-1).alias("g"), "points", F.lit(None).cast("binary").alias("rows"), F.lit(None).cast("binary").alias("vecs"))
+    points = F.lit(None).cast(own.schema["points"].dataType).alias("points")
+    # A group is a partition by its number: what a union of parts that are dealt already looks like to the planner does not matter.
+    tiles = first.union(others.select("a", "low", "g", points, "rows", "vecs")).repartitionById(groups, F.col("a")).sortWithinPartitions("a", "low")
+    return tiles.mapInArrow(run, f"row long, key {kind}, vec array<double>, near array<double>")
 
 
-def _tiles(own: DataFrame, others: DataFrame) -> DataFrame:
-    """Rows for :func:`_nearest_of_blocks`: ``own`` has a, points; ``others`` a, low, g, points."""
-    none = F.array().cast("array<double>")
-    padded = F.transform("points", lambda p: F.struct(p["row"].alias("row"), p["key"].alias("key"), p["vec"].alias("vec"), none.alias("near")))
-    return own.select("a", F.lit(-1.0).alias("low"), F.lit(-1).alias("g"), "points").union(others.select("a", "low", "g", padded.alias("points")))
+def _single(points: DataFrame, vector: str) -> bool:
+    return points.schema[vector].dataType.simpleString() == "array<float>"
+
+
+def _chain(pivots: np.ndarray) -> list[int]:
+    """An order in which each pivot is followed by the nearest one left."""
+    left, order = np.ones(len(pivots), bool), [0]
+    left[0] = False
+    while left.any():
+        far = np.where(left, _tile(pivots[order[-1]][None], pivots)[0], np.inf)
+        order.append(int(far.argmin()))
+        left[order[-1]] = False
+    return order
 
 
 def kth_distances(points: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """``key``, ``n`` (neighbours found, at most k) and ``kth``: the largest of the k smallest distances.
 
-    A block of points meets the blocks that can hold neighbours of its points, nearest first,
-    and keeps k numbers for each point, never the pairs.
+    Blocks that lie near each other are a group. A group of points meets the blocks that can hold
+    neighbours of its points, nearest first, and keeps k numbers for each point, never the pairs.
     """
+    spark = points.sparkSession
     blocks, pairs, pivots, groups = tile_pairs(points, key, vector, k)
-    kind = points.schema[key].dataType.simpleString()
+    kind, n = points.schema[key].dataType.simpleString(), sum(size for size, _ in groups.values())
+    number, places, at = _own_groups(n), [], 0
+    for g in [own for own in _chain(pivots) if own in groups] if groups else []:
+        places.append((g, at, groups[g][0] / -(-groups[g][0] // BLOCK)))
+        at += groups[g][0]
+    placing = F.broadcast(spark.createDataFrame(places, "g int, at long, step double"))  # a row for each pivot
+    group = F.least(F.lit(number - 1), F.floor((F.col("at") + F.col("part") * F.col("step")) * number / max(n, 1)).cast("int"))
     none = F.array().cast("array<double>")
-    own = F.transform("points", lambda p: F.struct(p["row"].alias("row"), p["key"].alias("key"), p["vec"].alias("vec"), none.alias("near")))
-    others = pairs.join(blocks.withColumnRenamed("block", "b"), "b").withColumn("g", F.col("b.g"))
-    tiles = _tiles(blocks.select(F.col("block").alias("a"), own.alias("points")), others)
-    found = _nearest_of_blocks(tiles, kind, k, pivots, {g: r for g, (_, r) in groups.items()})
+    padded = F.transform("points", lambda p: F.struct(p["row"].alias("row"), p["key"].alias("key"), p["vec"].alias("vec"), none.alias("near")))
+    own = blocks.select("block.g", "block.part", padded.alias("points")).join(placing, "g").select(group.alias("a"), "points")
+    met = pairs.select("a.g", "a.part", "b", "low").join(placing, "g").groupBy(group.alias("a"), "b").agg(F.min("low").alias("low"))
+    single = _single(points, vector)
+    lists = met.groupBy("b").agg(F.collect_list(F.struct("a", "low")).alias("to"))  # the groups that a block goes to
+    sent = _packed(blocks, "block", single).withColumnRenamed("block", "b").join(lists, "b").select("b.g", "rows", "vecs", F.explode("to").alias("t"))
+    found = _nearest_of_blocks(own, sent.select("t.a", "t.low", "g", "rows", "vecs"), kind, k, number, single, pivots, {g: r for g, (_, r) in groups.items()})
     return found.select(F.col("key").alias(key), F.size("near").cast("long").alias("n"), F.round(F.try_element_at("near", F.lit(-1)), 6).alias("kth")).where("n > 0")
 
 
@@ -294,13 +384,32 @@ def outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5)
     return kth_distances(points, key, vector, k).orderBy(F.desc("kth"), key).limit(m).select(key, "kth")
 
 
-def _compared(left: DataFrame, part: DataFrame, kind: str, n_left: int, k: int) -> DataFrame:
+def _compared(left: DataFrame, part: DataFrame, kind: str, n_left: int, k: int, single: bool) -> DataFrame:
     """``left`` with ``near`` brought up to date by the points of ``part`` (``slot``, row, key, vec)."""
-    groups = max(1, -(-n_left // BLOCK))
-    own = left.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("a")).agg(_listed("points", "row", "key", "vec", "near"))
-    others = part.groupBy("slot").agg(_listed("points", "row", "key", "vec"))
-    dealt = others.select("points", F.lit(0.0).alias("low"), F.lit(0).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("a"))
-    return _nearest_of_blocks(_tiles(own, dealt.join(own.select("a"), "a", "left_semi")), kind, k)
+    groups = _own_groups(n_left)
+    block = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(max(1, -(-n_left // (groups * BLOCK)))))
+    own = left.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("a"), block).agg(_listed("points", "row", "key", "vec", "near"))
+    others = _packed(part.groupBy("slot").agg(_listed("points", "row", "vec")), "slot", single)
+    sent = others.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("a"), F.lit(0.0).alias("low"), F.lit(0).alias("g"), "rows", "vecs")
+    return _nearest_of_blocks(own.select("a", "points"), sent, kind, k, groups, single)
+
+
+def _exact(rows: DataFrame, some: list[tuple[int, list[float]]], k: int) -> list[float]:
+    """The k-th distances of a few points (number and vector) to all, of those that have k others; each task sends k numbers a point."""
+    numbers, vecs = np.array([r for r, _ in some]), np.array([v for _, v in some])
+
+    def run(batches: Batches) -> Batches:
+        best = np.full((len(some), k), np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                far = _tile(vecs, _matrix(batch.column("vec")))
+                far[numbers[:, None] == batch.column("row").to_numpy()[None]] = np.inf
+                best = _nearer(best, far)
+        i, j = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(best[i, j])], ["i", "far"])
+
+    found = k_best(rows.select("row", "vec").mapInArrow(run, "i int, far double"), k, "i", "far").where(F.col("rank") == k)
+    return [r["far"] for r in found.collect()]
 
 
 def pruned_outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: int = 5, trace: list | None = None) -> DataFrame:
@@ -313,29 +422,28 @@ def pruned_outliers(points: DataFrame, key: str, vector: str, k: int = 10, m: in
     dropped. The limit only grows. ``trace`` gets the distances of each round.
     """
     rows = _points(points, key, vector)
-    n, kind = rows.count(), rows.schema["key"].dataType.simpleString()
+    n, kind, single = rows.count(), rows.schema["key"].dataType.simpleString(), _single(points, vector)
     blocks = max(1, -(-n // BLOCK))
     dealt = rows.withColumn("slot", F.pmod(F.xxhash64("row", F.lit(17)), F.lit(blocks)).cast("int"))
     left, path = rows.withColumn("near", F.array().cast("array<double>")), None
     first, width, n_left, limit = 0, 1, n, 0.0
     while first < blocks and n_left:
         part = dealt.where(F.col("slot").between(first, first + width - 1))
-        met, met_path = store(_compared(left, part, kind, n_left, k), "candidates")
+        met, met_path = store(_compared(left, part, kind, n_left, k, single), "candidates")
         bound = F.when(F.size("near") == k, F.try_element_at("near", F.lit(-1))).otherwise(float("inf"))
         if trace is not None:
             trace.append(n_left * part.count())
         first, width = first + width, 2 * width
+        if path:
+            forget(rows.sparkSession, path)
+        left, path = met, met_path
         if first < blocks:
-            top = met.orderBy(F.desc(bound), "row").limit(m).withColumn("near", F.array().cast("array<double>"))
-            exact = _compared(top, dealt, kind, m, k).where(F.size("near") == k).agg(F.min(F.try_element_at("near", F.lit(-1))), F.count("*")).first()
+            top = met.orderBy(F.desc(bound), "row").limit(m).select("row", "vec").collect()  # m points
+            exact = _exact(rows, [tuple(r) for r in top], k) if top else []
             if trace is not None:
                 trace.append(m * n)
-            limit = max(limit, exact[0]) if exact[1] == m else limit
-            met, kept_path = store(met.where(bound >= limit - SLACK), "candidates")
-            forget(rows.sparkSession, met_path)
-            met_path = kept_path
-        if path:
-            forget(rows.sparkSession, path)
-        left, path, n_left = met, met_path, met.count()
+            limit = max(limit, min(exact)) if len(exact) == m else limit
+            left = met.where(bound >= limit - SLACK)
+        n_left = left.count()
     found = left.where(F.size("near") == k).select(F.col("key").alias(key), F.round(F.try_element_at("near", F.lit(-1)), 6).alias("kth"))
     return found.orderBy(F.desc("kth"), key).limit(m)

@@ -155,3 +155,32 @@ def test_tasks_of_products_follow_their_number(spark, monkeypatch):
     blocks = products.basket_blocks(df, "basket", "item")
     assert blocks.rdd.getNumPartitions() == -(-want.total() // 64)
     assert {(r.a, r.b): r.n for r in products.co_occurrence(df, "basket", "item").collect()} == want
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_points_are_sent_a_fixed_number_of_times(spark, monkeypatch, kind):
+    monkeypatch.setattr(neighbours, "BLOCK", 20)
+    monkeypatch.setattr(neighbours, "GROUPS", 3)
+    x = np.random.default_rng(4).normal(size=(900, 8)).astype(np.float32 if kind == "float" else float)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], f"id long, vec array<{kind}>, row int").repartition(4)
+    sent = []
+    whole = neighbours._nearest_of_blocks
+    monkeypatch.setattr(neighbours, "_nearest_of_blocks", lambda own, others, *a, **b: sent.append(others) or whole(own, others, *a, **b))
+    want = kths(x.astype(float), 10)
+    got = {r.id: r.kth for r in neighbours.kth_distances(df, "id", "vec", 10).collect()}
+    assert got == pytest.approx(dict(enumerate(want)), abs=2e-6)
+    assert sum(len(r.rows) for r in sent[0].select("rows").collect()) <= 3 * 8 * 900  # each point once for each group
+    best = sorted((-round(float(d), 6), i) for i, d in enumerate(want))[:5]
+    assert [(-r.kth, r.id) for r in neighbours.pruned_outliers(df, "id", "vec").collect()] == best
+
+
+def test_groups_lie_where_their_number_says(spark, monkeypatch):
+    """A union of parts that are dealt alike is dealt once more, whatever the planner makes of it."""
+    monkeypatch.setattr(neighbours, "BLOCK", 20)
+    df = spark.createDataFrame([(i, [float(i)], 0) for i in range(400)], POINTS)
+    rows = neighbours._points(df, "id", "vec")
+    left = rows.withColumn("near", neighbours.F.array().cast("array<double>"))
+    part = rows.withColumn("slot", neighbours.F.lit(0))
+    met = neighbours._compared(left, part, "bigint", 400, 1, False)
+    assert met.rdd.getNumPartitions() == neighbours._own_groups(400)
+    assert {r.near[0] for r in met.collect()} == {1.0}
