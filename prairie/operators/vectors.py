@@ -51,11 +51,11 @@ def indexed(docs: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataF
     return indexed_bags(docs.select(key, run_lengths(words).alias("bag")), key, vocab)
 
 
-def indexed_bags(bags: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
-    """:func:`indexed` of words that are counted already."""
-    each = bags.select(key, F.explode("bag").alias("w")).select(key, F.col("w.word").alias("word"), F.col("w.cnt").alias("cnt"))
+def indexed_bags(bags: DataFrame, key: str, vocab: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`indexed` of words that are counted already; ``keep`` names columns that follow, without a join."""
+    each = bags.select(key, *keep, F.explode("bag").alias("w")).select(key, *keep, F.col("w.word").alias("word"), F.col("w.cnt").alias("cnt"))
     # The vocabulary has ``size`` rows at most.
-    return each.join(F.broadcast(vocab.select("word", "idx")), "word").select(key, "idx", "cnt")
+    return each.join(F.broadcast(vocab.select("word", "idx")), "word").select(key, "idx", "cnt", *keep)
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ class Corpus:
     key: str
     bags: DataFrame  # key, bag: array<struct<word, cnt>>, and what was to be kept
     vocab: DataFrame  # word, n, idx
-    long: DataFrame  # key, idx, cnt
+    long: DataFrame  # key, idx, cnt, and what was to be kept
     n: int  # documents
 
     def frequency(self) -> DataFrame:
@@ -81,13 +81,13 @@ class Corpus:
 def corpus(docs: DataFrame, key: str, words: Column, size: int = SIZE, keep: tuple[str, ...] = ()) -> Corpus:
     """Word counts of ``docs`` over their ``size`` most frequent words; a null text has no words.
 
-    ``keep`` names columns that stay beside the bags.
+    ``keep`` names columns that stay beside the bags and the counts.
     """
     none = F.array().cast("array<struct<word:string,cnt:bigint>>")
     bags = stored(docs.select(key, *keep, F.coalesce(run_lengths(words), none).alias("bag")), "bags")
     each = bags.select(F.explode("bag").alias("w")).select("w.word", "w.cnt")
     vocab = stored(vocabulary(each.groupBy("word").agg(F.sum("cnt").alias("n")), size), "vocabulary")
-    return Corpus(key, bags, vocab, stored(indexed_bags(bags, key, vocab), "counts"), bags.count())
+    return Corpus(key, bags, vocab, stored(indexed_bags(bags, key, vocab, keep), "counts"), bags.count())
 
 
 def document_frequency(long: DataFrame) -> DataFrame:

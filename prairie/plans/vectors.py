@@ -70,8 +70,9 @@ def with_category(s, d):
     """Vectors with the category of their path: the middle part of source/lang/id."""
     from prairie.functions.scalars import path_part
 
-    docs = _docs(s, d).select("doc_id", path_part(F.concat_ws("/", "source", "lang", "doc_id")).alias("category"))
-    return _corpus(s, d).long.join(docs, "doc_id")
+    docs = _docs(s, d).withColumn("category", path_part(F.concat_ws("/", "source", "lang", "doc_id")))
+    # The category goes along with the words, so that the long table is never joined.
+    return v.corpus(docs, "doc_id", words_ascii("text"), SIZE, keep=("category",)).long.where("doc_id IS NOT NULL")
 
 
 def scaled(s, d):

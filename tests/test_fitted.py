@@ -168,3 +168,12 @@ def test_documents_are_read_once_for_all_vectors(spark, sf_dir):
     plan = vectors.standardised(c.tfidf_raw(), "doc_id", vectors.moments(c.tfidf_raw(), c.n))._jdf.queryExecution().toString()
     assert "documents.parquet" not in plan and c.n == docs.count()
     assert math.isclose(c.long.agg(F.sum("cnt")).first()[0], sum(len(tokens(r.text)) for r in docs.collect()))
+
+
+def test_category_goes_along_without_a_join(spark, sf_dir):
+    from prairie.plans import vectors as pv
+
+    made = pv.with_category(spark, sf_dir)
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "lang")
+    assert made.join(docs, "doc_id").where("category <> lang").count() == 0 and made.count() > 0
