@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from prairie.functions.scalars import idf_ln
 from prairie.operators import models
 from prairie.operators import vectors as v
+from prairie.session import stored
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class TextModel:
     def scored(self, docs: DataFrame, key: str, words: Column) -> DataFrame:
         """``key``, ``label``, ``z`` and ``p`` of documents with a ``label``."""
         rows = self.vectors(docs, key, words).join(docs.select(key, "label"), key)
-        return models.scored(rows, key, self.weights)
+        return models.scored(stored(rows, "unseen"), key, self.weights)  # read twice there
 
     def save(self, path: str) -> None:
         for name in ("vocab", "scale", "weights"):

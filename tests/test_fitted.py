@@ -177,3 +177,14 @@ def test_category_goes_along_without_a_join(spark, sf_dir):
     assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "lang")
     assert made.join(docs, "doc_id").where("category <> lang").count() == 0 and made.count() > 0
+
+
+def test_scoring_reads_the_texts_once(spark, tmp_path):
+    from prairie.functions.text import words_ascii
+    from prairie.operators import features
+
+    docs = spark.createDataFrame([(i, f"one {'two' if i % 3 else 'three'} w{i % 5}", i % 2) for i in range(30)], "doc_id long, text string, label int")
+    model = features.fit(docs, "doc_id", words_ascii("text"), str(tmp_path / "model"), rounds=2)
+    found = model.scored(docs, "doc_id", words_ascii("text"))
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 30
