@@ -30,11 +30,15 @@ class TextModel:
 
     def vectors(self, docs: DataFrame, key: str, words: Column) -> DataFrame:
         """``key`` and ``entries`` of documents, by what was learned from the training ones."""
-        return v.gathered(_scaled(v.indexed(docs, key, words, self.vocab), key, self.scale), docs, key)
+        return self._vectors(docs, words, key)
+
+    def _vectors(self, docs: DataFrame, words: Column, *keep: str) -> DataFrame:
+        bags = docs.select(*keep, v.bag(words).alias("bag"))
+        return _scaled(v.counted(bags, self.vocab, *keep), self.scale, *keep)
 
     def scored(self, docs: DataFrame, key: str, words: Column) -> DataFrame:
         """``key``, ``label``, ``z`` and ``p`` of documents with a ``label``."""
-        rows = self.vectors(docs, key, words).join(docs.select(key, "label"), key)
+        rows = self._vectors(docs, words, key, "label")
         return models.scored(stored(rows, "unseen"), key, self.weights)  # read twice there
 
     def save(self, path: str) -> None:
@@ -46,10 +50,9 @@ class TextModel:
         return TextModel(*(spark.read.parquet(f"{path}/{name}") for name in ("vocab", "scale", "weights")))
 
 
-def _scaled(long: DataFrame, key: str, scale: DataFrame) -> DataFrame:
+def _scaled(counts: DataFrame, scale: DataFrame, *keep: str) -> DataFrame:
     """Standardised TF-IDF of stored entries; the scale has a row for each word of the vocabulary at most."""
-    value = (F.col("cnt") * F.col("idf") - F.col("mean")) / F.col("std")
-    return long.join(F.broadcast(scale), "idx").select(key, "idx", value.alias("v"))
+    return v.valued(counts, scale, lambda cnt, total, idf, mean, std: (cnt * idf - mean) / std, *keep)
 
 
 def scale_of(corpus: v.Corpus) -> DataFrame:
@@ -66,8 +69,8 @@ def fit(docs: DataFrame, key: str, words: Column, path: str, size: int = v.SIZE,
     """
     spark = docs.sparkSession
     corpus = v.corpus(docs, key, words, size, keep=("label",))
-    scale = scale_of(corpus)
-    rows = v.gathered(_scaled(corpus.long, key, scale), corpus.bags, key).join(corpus.bags.select(key, "label"), key)
+    scale = stored(scale_of(corpus), "scale")
+    rows = _scaled(corpus.counts, scale, "label")
     weights = models.train_logistic(rows, corpus.vocab.count(), **training)
     TextModel(corpus.vocab, scale, models.weight_table(spark, weights)).save(path)
     return TextModel.load(spark, path)

@@ -72,11 +72,13 @@ def gradient_parts(blocks: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             for block in zip(*(batch.column(c).to_pylist() for c in ("labels", "sizes", "idx", "v"))):
                 y, sizes, idx, v = (np.frombuffer(b, t) for b, t in zip(block, ("<f8", "<i4", "<i4", "<f8")))
-                row = np.repeat(np.arange(len(y)), sizes)
-                z = np.bincount(row, w[idx] * v, len(y))
+                idx, some = idx.astype(np.intp), sizes > 0
+                z = np.zeros(len(y))
+                if some.any():
+                    z[some] = np.add.reduceat(w[idx] * v, (sizes.cumsum(dtype=np.int64) - sizes)[some])
                 loss += float((np.logaddexp(0, z) - y * z).sum())
                 rows += len(y)
-                total += np.bincount(idx, (0.5 * (1 + np.tanh(z / 2)) - y)[row] * v, len(w))
+                total += np.bincount(idx, np.repeat(0.5 * (1 + np.tanh(z / 2)) - y, sizes) * v, len(w))
         parts = total.reshape(-1, RANGE)
         some = np.flatnonzero(parts.any(1))
         sums = [np.array([rows, loss]).tobytes(), *(parts[i].tobytes() for i in some)]

@@ -14,8 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from prairie.operators.ranking import k_best
 from prairie.session import forget, store, stored
@@ -26,6 +28,9 @@ MOST = 1 << 17  # points of such a task, about
 PIVOTS = 1024  # groups of points at most; each is a vector that tasks and driver hold
 NORMS = 16  # buckets of sparse vectors by their norm
 SEEDS = 32  # vectors that are tried first for each query
+FEW = 1024  # queries that each task can hold
+HELD = 1 << 18  # entries of such queries
+PRODUCTS = 1 << 20  # of entries of vectors and queries at a time, about
 SLACK = 1e-6  # distances are rounded to six digits
 
 Batches = Iterator[pa.RecordBatch]
@@ -114,13 +119,88 @@ def candidates(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return telling.join(postings, ["idx", "bucket"]).select("q", "doc").union(whole).distinct()
 
 
+def _met(corpus: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
+    """``q``, ``doc`` and ``distance``: the k nearest vectors of each task for each query, and more.
+
+    Every vector meets every query, where it lies: its words lead to the queries that have
+    them. For ``FEW`` queries of ``HELD`` entries at most.
+    """
+    rows = asked.select("q", "norm", "entries").collect()
+    words = [(e["idx"], i, e["v"]) for i, r in enumerate(rows) for e in r["entries"]]
+    words.sort(key=lambda e: e[:2])
+    idx, owner, weight = (np.array([e[j] for e in words], t) for j, t in ((0, np.int64), (1, np.int64), (2, float)))
+    n, q_norm = len(rows), np.array([r["norm"] for r in rows], float)
+    first = np.searchsorted(idx, np.arange(int(idx.max(initial=-1)) + 2))  # a word's queries; none behind the last
+    kinds = {"q": asked.schema["q"].dataType, "doc": corpus.schema[key].dataType}
+    ids = pa.array([r["q"] for r in rows], to_arrow_type(kinds["q"]))
+
+    def far(row: np.ndarray, words: np.ndarray, v: np.ndarray, size: int) -> np.ndarray:
+        """Distances of ``size`` vectors from all queries."""
+        norm = np.bincount(row, v * v, size)
+        some = words < len(first) - 1
+        row, words, v = row[some], words[some], v[some]
+        counts = first[words + 1] - first[words]
+        ends, dot = counts.cumsum(), np.zeros(size * n)
+        start = 0
+        while start < len(row):
+            before = int(ends[start - 1]) if start else 0
+            end = max(int(np.searchsorted(ends, before + PRODUCTS)), start + 1)
+            own, c = slice(start, end), counts[start:end]
+            at = np.arange(int(c.sum())) + np.repeat(first[words[own]] - (c.cumsum() - c), c)
+            low, high = row[start] * n, (row[end - 1] + 1) * n
+            products = np.repeat(v[own], c) * weight[at]
+            dot[low:high] += np.bincount(np.repeat(row[own] * n, c) + owner[at] - low, products, high - low)
+            start = end
+        squares = norm[:, None] + q_norm[None] - 2 * dot.reshape(size, n)
+        return np.round(np.sqrt(np.maximum(squares, 0)), 6)
+
+    def best(docs: pa.Array, q: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """Places of the k nearest of each query, by distance and key."""
+        place = np.empty(len(docs), np.int64)
+        place[pc.array_sort_indices(docs).to_numpy()] = np.arange(len(docs))
+        order = np.lexsort((place, distance, q))
+        asked = q[order]
+        return order[np.arange(len(order)) - np.searchsorted(asked, asked) < k]
+
+    def run(batches: Batches) -> Batches:
+        held = None
+        for batch in batches:
+            for start in range(0, len(batch), BLOCK):
+                part = batch.slice(start, BLOCK)
+                lists, docs = part.column("entries"), part.column("doc")
+                inner = lists.flatten()
+                row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                found = far(row, inner.field("idx").to_numpy(), inner.field("v").to_numpy(), len(lists))
+                at = np.argpartition(found, k - 1, 0)[:k] if k < len(lists) else np.broadcast_to(np.arange(len(lists))[:, None], found.shape)
+                limit = np.take_along_axis(found, at, 0).max(0)
+                at, q = np.nonzero(~(found > limit))  # ties of the k-th too
+                new = (docs.take(pa.array(at)), q, found[at, q])
+                if held:
+                    new = (pa.concat_arrays([held[0], new[0]]), *map(np.concatenate, zip(held[1:], new[1:])))
+                keep = best(*new)
+                held = (new[0].take(pa.array(keep)), new[1][keep], new[2][keep])
+        if held:
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(held[1])), held[0], pa.array(held[2])], ["q", "doc", "distance"])
+
+    kind = {c: t.simpleString() for c, t in kinds.items()}
+    entries = F.coalesce("entries", F.array().cast("array<struct<idx:bigint,v:double>>")).alias("entries")
+    docs = corpus.select(F.col(key).alias("doc"), entries).where("doc IS NOT NULL")
+    return docs.mapInArrow(run, f"q {kind['q']}, doc {kind['doc']}, distance double")
+
+
 def nearest(corpus: DataFrame, key: str, queries: DataFrame, query: str, k: int) -> DataFrame:
     """``query``, ``key``, ``distance``, ``rank``: the k nearest rows of each query (ties by key).
 
-    Both tables have ``entries`` in ascending order of ``idx``; ids are unique.
+    Both tables have ``entries`` in ascending order of ``idx``; ids are unique. Few queries meet
+    all vectors in the tasks that read them; more are led to their candidates by postings.
     """
-    docs, asked = _sparse(corpus, key, queries, query)
-    found = _distances(candidates(docs, asked, k), docs, asked)
+    asked = stored(_normed(queries, query, "q"), "queries")
+    size = asked.agg(F.count("*").alias("n"), F.sum(F.size("entries")).alias("entries")).first()
+    if 0 < size["n"] <= FEW and size["entries"] <= HELD:
+        found = _met(corpus, key, asked.where("q IS NOT NULL"), k)
+    else:
+        docs, asked = _sparse(corpus, key, queries, query)
+        found = _distances(candidates(docs, asked, k), docs, asked)
     return k_best(found, k, "q", "distance", "doc").select(F.col("q").alias("query"), F.col("doc").alias(key), "distance", "rank")
 
 

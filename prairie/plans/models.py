@@ -94,9 +94,8 @@ def part_scores(s, d):
 def neighbours(s, d, k=5):
     """The k documents nearest to each benchmark text; every item is a query."""
     c = pv._corpus(s, d)
-    corpus = stored(v.gathered(c.tfidf_norm(), c.bags, "doc_id"), "corpus")
     asked = v.gathered(pv.item_vectors(s, d, c), T(s, d, "benchmark"), "item_id")
-    return nb.nearest(corpus, "doc_id", asked, "item_id", k)
+    return nb.nearest(c.norm_vectors(), "doc_id", asked, "item_id", k)
 
 
 def labels(s, d):

@@ -188,3 +188,20 @@ def test_scoring_reads_the_texts_once(spark, tmp_path):
     found = model.scored(docs, "doc_id", words_ascii("text"))
     assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() == 30
+
+
+def test_vectors_are_made_in_their_rows(spark):
+    """No shuffle; repeated ids stay rows of their own, texts without words have empty vectors."""
+    texts = [(1, "a b b c"), (1, "c"), (2, None), (None, "a a"), (3, "b zz"), (4, "")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    c = vectors.corpus(docs, "id", words_ascii("text"), 3)
+    made = vectors.valued(c.counts, c.vocab.select("idx", F.lit(2.0).alias("f")), lambda cnt, total, f: cnt * f / total, "id")
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    place = {r.word: r.idx for r in c.vocab.collect()}
+    got = sorted((r.id or 0, [(e.idx, round(e.v, 9)) for e in r.entries]) for r in made.collect())
+    want = []
+    for i, text in texts:
+        n = Counter(w for w in tokens(text) if w in place)
+        want.append((i or 0, sorted((place[w], round(2 * x / n.total(), 9)) for w, x in n.items())))
+    assert got == sorted(want)
+    assert sum(len(e) for _, e in got) == c.long.count() and len(c.norm_vectors().collect()) == 6

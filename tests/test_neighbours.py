@@ -184,3 +184,20 @@ def test_groups_lie_where_their_number_says(spark, monkeypatch):
     met = neighbours._compared(left, part, "bigint", 400, 1, False)
     assert met.rdd.getNumPartitions() == neighbours._own_groups(400)
     assert {r.near[0] for r in met.collect()} == {1.0}
+
+
+def test_few_queries_meet_all_vectors_without_postings(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    docs, asked = sparse(rng, 300, True), sparse(rng, 9, True)
+    docs[40:60] = docs[3]
+    corpus = spark.createDataFrame(rows_of(docs) + [(None, [(1, 1.0)], "", 0)], VECTORS).repartition(3)
+    queries = spark.createDataFrame(rows_of(asked), VECTORS)
+    by_postings = neighbours.candidates
+    found = lambda: sorted(tuple(r) for r in neighbours.nearest(corpus, "id", queries, "id", 5).collect())
+    monkeypatch.setattr(neighbours, "candidates", None)
+    monkeypatch.setattr(neighbours, "BLOCK", 17)
+    monkeypatch.setattr(neighbours, "PRODUCTS", 5)
+    few = found()
+    monkeypatch.setattr(neighbours, "candidates", by_postings)
+    monkeypatch.setattr(neighbours, "FEW", 8)
+    assert few == found() and len(few) == 45
