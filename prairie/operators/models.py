@@ -15,6 +15,7 @@ from prairie.session import forget, store, stored
 
 ENTRIES = 1 << 18  # of a block of sparse rows
 RANGE = 2048  # indices of which a gradient's sums travel together
+BLOCK = ("labels", "sizes", "codes", "idx", "v")  # columns of a block
 THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
 
@@ -22,17 +23,26 @@ def packed(vectors: DataFrame) -> DataFrame:
     """Labelled sparse rows in blocks of about ``ENTRIES`` entries, one block a row, as plain arrays.
 
     ``vectors`` has ``label`` and ``entries``; rows without a label are left out. A block has
-    ``labels`` (doubles), ``sizes`` (entries of each row, int32), ``idx`` (int32) and ``v`` (doubles).
+    ``labels`` (doubles), ``sizes`` (entries of each row, int32), ``codes`` (of each entry, two or four
+    bytes), and, by code, ``idx`` (int32) and ``v`` (doubles) of its distinct entries: a word's
+    small counts repeat, so most of what a round reads are the codes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[], [], [], []]
 
         def block() -> pa.RecordBatch:
-            made = [pa.array([np.concatenate(c).astype(t).tobytes()], pa.binary()) for c, t in zip(held, ("<f8", "<i4", "<i4", "<f8"))]
+            labels, sizes, idx, v = (np.concatenate(c) for c in held)
             for c in held:
                 c.clear()
-            return pa.RecordBatch.from_arrays(made, ["labels", "sizes", "idx", "v"])
+            order = np.lexsort((v, idx))
+            idx, v = idx[order], v[order]
+            new = np.ones(len(idx), bool)
+            new[1:] = (idx[1:] != idx[:-1]) | (v[1:] != v[:-1])
+            codes = np.empty(len(idx), "<u2" if new.sum() <= 1 << 16 else "<u4")
+            codes[order] = new.cumsum() - 1
+            made = (labels.astype("<f8"), sizes.astype("<i4"), codes, idx[new].astype("<i4"), v[new].astype("<f8"))
+            return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in made], list(BLOCK))
 
         for batch in batches:
             lists = batch.column("entries")
@@ -56,7 +66,7 @@ def packed(vectors: DataFrame) -> DataFrame:
         if held[0]:
             yield block()
 
-    return vectors.where("label IS NOT NULL").select("label", "entries").mapInArrow(run, "labels binary, sizes binary, idx binary, v binary")
+    return vectors.where("label IS NOT NULL").select("label", "entries").mapInArrow(run, ", ".join(f"{c} binary" for c in BLOCK))
 
 
 def gradient_parts(blocks: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -70,15 +80,17 @@ def gradient_parts(blocks: DataFrame, weights: np.ndarray) -> DataFrame:
         w = np.append(weights, np.zeros(-len(weights) % RANGE))
         total, rows, loss = np.zeros(len(w)), 0, 0.0
         for batch in batches:
-            for block in zip(*(batch.column(c).to_pylist() for c in ("labels", "sizes", "idx", "v"))):
-                y, sizes, idx, v = (np.frombuffer(b, t) for b, t in zip(block, ("<f8", "<i4", "<i4", "<f8")))
-                idx, some = idx.astype(np.intp), sizes > 0
-                z = np.zeros(len(y))
-                if some.any():
-                    z[some] = np.add.reduceat(w[idx] * v, (sizes.cumsum(dtype=np.int64) - sizes)[some])
+            for block in zip(*(batch.column(c) for c in BLOCK)):
+                y, sizes, codes, idx, v = (np.frombuffer(b.as_buffer(), t) for b, t in zip(block, ("<f8", "<i4", "u1", "<i4", "<f8")))
+                n = int(sizes.sum(dtype=np.int64))
+                codes = codes.view(f"<u{len(codes) // max(n, 1) or 2}").astype(np.intp)
+                z, some = np.zeros(len(y)), sizes > 0
+                if n:
+                    z[some] = np.add.reduceat((w[idx] * v)[codes], (sizes.cumsum(dtype=np.int64) - sizes)[some])
                 loss += float((np.logaddexp(0, z) - y * z).sum())
                 rows += len(y)
-                total += np.bincount(idx, np.repeat(0.5 * (1 + np.tanh(z / 2)) - y, sizes) * v, len(w))
+                each = np.bincount(codes, np.repeat(0.5 * (1 + np.tanh(z / 2)) - y, sizes), len(idx))
+                total += np.bincount(idx, each * v, len(w))
         parts = total.reshape(-1, RANGE)
         some = np.flatnonzero(parts.any(1))
         sums = [np.array([rows, loss]).tobytes(), *(parts[i].tobytes() for i in some)]

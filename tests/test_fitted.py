@@ -205,3 +205,19 @@ def test_vectors_are_made_in_their_rows(spark):
         want.append((i or 0, sorted((place[w], round(2 * x / n.total(), 9)) for w, x in n.items())))
     assert got == sorted(want)
     assert sum(len(e) for _, e in got) == c.long.count() and len(c.norm_vectors().collect()) == 6
+
+
+def test_equal_entries_of_a_block_are_held_once(spark):
+    rows = [(i % 2, [(j, float(1 + (i + j) % 2)) for j in range(40)]) for i in range(300)] + [(1, [])]
+    df = spark.createDataFrame(rows, "label int, entries array<struct<idx:long,v:double>>").coalesce(1)
+    [block] = models.packed(df).collect()
+    assert len(block["v"]) == 8 * 80 and len(block["codes"]) == 2 * 300 * 40
+    x = np.array([[v for _, v in e] or [0] * 40 for _, e in rows])
+    y, w = np.array([label for label, _ in rows]), np.linspace(-0.1, 0.1, 40)
+    got = {r.idx: r.total for r in models.gradient(df, w).collect()}
+    want = x.T @ (1 / (1 + np.exp(-(x @ w))) - y)
+    assert [got[j] for j in range(40)] == pytest.approx(want.tolist()) and got[-2] == 301
+    many = [(0, [(j, j / 7)]) for j in range(70_000)]  # more entries than two bytes tell apart
+    df = spark.createDataFrame(many, "label int, entries array<struct<idx:long,v:double>>").coalesce(1)
+    got = {r.idx: r.total for r in models.gradient(df, np.zeros(70_000)).collect()}
+    assert got[69_999] == pytest.approx(69_999 / 14) and len(got) == 70_001
