@@ -12,22 +12,25 @@ from pyspark.sql.types import StructType
 Make = Callable[[pa.RecordBatch], dict[str, list]]
 
 
-def add_columns(rows: DataFrame, added: str, begin: Callable[[], Make], drop: tuple[str, ...] = ()) -> DataFrame:
+def add_columns(rows: DataFrame, added: str, begin: Callable[[], Make], drop: tuple[str, ...] = (), most: int | None = None) -> DataFrame:
     """``rows`` without ``drop`` and with the columns ``added`` (a schema in DDL).
 
-    ``begin`` is called once in each task; what it returns gets every batch and returns the
-    new columns by name.
+    ``begin`` is called once in each task; what it returns gets every batch, or its slices of
+    ``most`` rows, and returns the new columns by name.
     """
     new = StructType.fromDDL(added)
     kept = [f for f in rows.schema if f.name not in drop]
     types = [(f.name, to_arrow_type(f.dataType)) for f in new]
     names = [f.name for f in kept] + new.names
 
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, most or max(batch.num_rows, 1)):
+                yield batch.slice(start, most)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             make = make or begin()
             made = make(batch)
             arrays = [batch.column(f.name) for f in kept]
@@ -35,5 +38,6 @@ def add_columns(rows: DataFrame, added: str, begin: Callable[[], Make], drop: tu
                 values = made[name]
                 arrays.append(values if isinstance(values, pa.Array) else pa.array(values, kind))
             yield pa.RecordBatch.from_arrays(arrays, names)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return rows.mapInArrow(run, StructType(kept + new.fields))

@@ -33,6 +33,7 @@ END = 0
 DIMENSIONS = 4
 BITS = 12  # of the key, for each dimension
 BUCKETS = 256  # of the hashed vectors
+ROWS = 512  # texts that a task holds as Python strings
 
 
 def projection(vocabulary: int, dimensions: int = DIMENSIONS, buckets: int = BUCKETS) -> np.ndarray:
@@ -106,7 +107,7 @@ def encoded(docs: DataFrame, key: str, text: str, vocabulary: str, end: int, cur
 
     rows = docs.select(quoted(key).alias("_key"), quoted(text).alias("_text"))
     added = "width int, n_ids long, ids binary" + ", curve long" * curve
-    return add_columns(rows, added, begin, drop=("_text",)).withColumnRenamed("_key", key)
+    return add_columns(rows, added, begin, drop=("_text",), most=ROWS).withColumnRenamed("_key", key)
 
 
 def running(rows: DataFrame, value: str, *order: str) -> DataFrame:

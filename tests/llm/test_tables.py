@@ -284,3 +284,18 @@ def test_an_edge_for_each_member_not_for_each_pair():
     dense = np.array([sum(1 << k for k in range(12) if i >> k & 1) for i in range(4096)], np.uint64)
     x, y = simhash.linked(dense, None)
     assert len(x) == 4095 and set(y.tolist()) == {0}
+
+
+def test_added_columns_are_made_of_few_rows_at_a_time(spark):
+    """A task that turns texts into Python strings does so for some rows of a batch only."""
+    import pyarrow as pa
+    from prairie.llm.batches import add_columns
+
+    def begin():
+        return lambda batch: {"seen": pa.array([batch.num_rows] * batch.num_rows, pa.int64()), "twice": [2 * t.as_py() for t in batch.column("t")]}
+
+    rows = spark.range(1000).selectExpr("id", "cast(id as string) t").coalesce(1)
+    got = add_columns(rows, "seen long, twice string", begin, drop=("t",), most=64).collect()
+    assert sorted((r.id, r.twice) for r in got) == [(i, 2 * str(i)) for i in range(1000)]
+    assert max(r.seen for r in got) == 64
+    assert {r.seen for r in add_columns(rows, "seen long, twice string", begin).collect()} == {1000}
