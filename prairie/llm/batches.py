@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,9 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+FEW = 512  # texts that a step holds as Python objects, where it takes them one by one
+
 Make = Callable[[pa.RecordBatch], dict[str, list]]
 
 
+def give_back() -> None:
+    """Free memory of a task that ends goes back to the system, as its worker process lives on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library is glibc
+    if trim:
+        trim(0)
+
+
 def add_columns(rows: DataFrame, added: str, begin: Callable[[], Make], drop: tuple[str, ...] = (), most: int | None = None) -> DataFrame:
     """``rows`` without ``drop`` and with the columns ``added`` (a schema in DDL).
 
@@ -38,6 +49,7 @@ def add_columns(rows: DataFrame, added: str, begin: Callable[[], Make], drop: tu
                 values = made[name]
                 arrays.append(values if isinstance(values, pa.Array) else pa.array(values, kind))
             yield pa.RecordBatch.from_arrays(arrays, names)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        batch = make = made = arrays = values = None
+        give_back()
 
     return rows.mapInArrow(run, StructType(kept + new.fields))

@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prairie.llm.batches import add_columns
+from prairie.llm.batches import FEW, add_columns
 from prairie.llm.columns import quoted, whole
 from prairie.session import stored, table
 
@@ -121,7 +121,7 @@ def _hits(rows: DataFrame, block: list[bytes]) -> tuple[DataFrame, Broadcast]:
 
         return make
 
-    return add_columns(rows, "n_words long, runs array<struct<first:long,n:long>>, windows array<binary>", begin), sent
+    return add_columns(rows, "n_words long, runs array<struct<first:long,n:long>>, windows array<binary>", begin, most=FEW), sent
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def _spans(rows: DataFrame) -> DataFrame:
 
         return make
 
-    return add_columns(rows, "n_hit long, spans array<struct<start:int,end:int>>", begin, drop=("_text", "runs"))
+    return add_columns(rows, "n_hit long, spans array<struct<start:int,end:int>>", begin, drop=("_text", "runs"), most=FEW)
 
 
 def _found(docs: DataFrame, windows_: DataFrame, key: str, text: str, block: int) -> DataFrame:

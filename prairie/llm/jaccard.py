@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prairie.llm.batches import add_columns
+from prairie.llm.batches import add_columns, give_back
 from prairie.llm.columns import content_hash, free_name, quoted
 from prairie.operators.graph import components
 from prairie.session import forget, store, stored, table
@@ -209,6 +209,7 @@ def entries(rows: DataFrame, order: np.ndarray, width: int, percent: int) -> Dat
                 [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), pa.array(fine, pa.binary()), pa.array(parts, pa.list_(pa.int64()))],
                 ["class", "size", "parities", "fine", "prefix"],
             )
+        give_back()
 
     return rows.select("_text").mapInArrow(run, "class binary, size int, parities binary, fine binary, prefix array<long>")
 
@@ -234,6 +235,7 @@ def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int)
                 if bitmap[zlib.crc32(name) % MARKS] and name not in found:
                     found[name] = text or b""
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["class", "text"])
+        give_back()
 
     each = rows.select("_text").mapInArrow(run, "class binary, text binary")
     return store(each.join(wanted, "class").select("id", "text").dropDuplicates(["id"]), "texts")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prairie.llm import tokens
-from prairie.llm.batches import add_columns
+from prairie.llm.batches import FEW, add_columns, give_back
 from prairie.llm.columns import quoted
 from prairie.session import stored, table
 
@@ -33,7 +33,6 @@ END = 0
 DIMENSIONS = 4
 BITS = 12  # of the key, for each dimension
 BUCKETS = 256  # of the hashed vectors
-ROWS = 512  # texts that a task holds as Python strings
 
 
 def projection(vocabulary: int, dimensions: int = DIMENSIONS, buckets: int = BUCKETS) -> np.ndarray:
@@ -107,7 +106,7 @@ def encoded(docs: DataFrame, key: str, text: str, vocabulary: str, end: int, cur
 
     rows = docs.select(quoted(key).alias("_key"), quoted(text).alias("_text"))
     added = "width int, n_ids long, ids binary" + ", curve long" * curve
-    return add_columns(rows, added, begin, drop=("_text",), most=ROWS).withColumnRenamed("_key", key)
+    return add_columns(rows, added, begin, drop=("_text",), most=FEW).withColumnRenamed("_key", key)
 
 
 def running(rows: DataFrame, value: str, *order: str) -> DataFrame:
@@ -124,6 +123,7 @@ def running(rows: DataFrame, value: str, *order: str) -> DataFrame:
             new = [pa.array([part] * len(values), pa.int32()), pa.array(total + sums - values, pa.int64())]
             total += int(sums[-1]) if len(sums) else 0
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "_part", "_inside"])
+        give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
