@@ -9,7 +9,8 @@ gives that token's id. Tests hold the result against the library on the whole te
 
 A worker process keeps its pieces for the tasks that follow. Once ``CACHED`` of them are held,
 they become the old generation and the one before is dropped; an old piece that is met again
-joins the new ones. So frequent pieces stay, and memory is bounded.
+joins the new ones. So frequent pieces stay, and memory is bounded. A process that has encoded
+nothing for ``IDLE`` seconds gives its pieces up: other steps need the memory then.
 """
 
 from __future__ import annotations
@@ -17,12 +18,17 @@ from __future__ import annotations
 import gc
 import os
 import re
+import threading
+import time
 from array import array
 from itertools import chain
 
 import numpy as np
 
+from prairie.llm.batches import give_back
+
 CACHED = 400_000  # words of a generation, behind a blank, of which a worker remembers two (and as many behind none)
+IDLE = 8.0  # seconds
 LONGEST = 64  # characters of a word that is remembered
 _MARKS = ".,;:!?*&$%#"
 _LATIN = "\u0250"  # the first character after the Latin ones
@@ -110,6 +116,23 @@ class _Worker:
         self.first, self.spaced = _Pieces(self.library, ""), _Pieces(self.library, " ")
         self.spaced.marks = self.first
         self.newline = self.library.whole("\n")
+        self.used, self.watched = time.monotonic(), False
+
+    def use(self) -> None:
+        """Pieces are wanted; someone watches until they are not."""
+        self.used = time.monotonic()
+        if not self.watched:
+            self.watched = True
+            threading.Thread(target=self._watch, daemon=True).start()
+
+    def _watch(self) -> None:
+        while (rest := self.used + IDLE - time.monotonic()) > 0:
+            time.sleep(rest)
+        self.watched = False
+        for pieces in (self.first, self.spaced):  # a text that comes just now finds them missing, no more
+            pieces.old = {}
+            pieces.clear()
+        give_back()
 
     def text(self, text: str) -> bytes:
         """Ids of a text: of its words one by one, where single blanks and newlines are all that parts them."""
@@ -142,6 +165,7 @@ class Encoder:
         self.end = array(library.code, [end]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        self.worker.use()
         one, end, added, whole = self.worker.text, self.end, self.worker.library.added, self.worker.library.whole
         collecting = gc.isenabled()
         gc.disable()  # millions of strings and no cycles

@@ -312,10 +312,26 @@ def test_free_memory_of_a_worker_goes_back():
             return int(re.search(r"Private_Dirty:\s+(\d+)", f.read())[1]) / 1024
 
     texts, stay = [], []
-    for i in range(40_000):
-        texts.append(b"x" * 4000)
+    for _ in range(4000):
+        texts.append(b"x" * 40_000)
         stay.append(b"y" * 600)
     full = held()
     texts.clear()
     give_back()
-    assert held() < full - 80 and len(stay) == 40_000
+    assert held() < full - 80 and len(stay) == 4000
+
+
+def test_idle_encoder_gives_its_pieces_up(monkeypatch):
+    import time
+
+    from prairie.llm import tokens
+
+    monkeypatch.setattr(tokens, "IDLE", 0.3)
+    monkeypatch.setattr(tokens, "_HELD", {})
+    encoder = tokens.Encoder(tokens.vocabulary(), 0)
+    text = ["some words, behind blanks\nand lines"]
+    first = encoder.encode(text)
+    assert len(encoder.worker.spaced) > 3
+    time.sleep(1.5)
+    assert not encoder.worker.spaced and not encoder.worker.first and not encoder.worker.watched
+    assert encoder.encode(text) == first and len(encoder.worker.spaced) > 3
