@@ -41,12 +41,16 @@ LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)
 def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     values = values.astype("<u4")
-    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    width = 2 if values.max(initial=0) <= 0xFFFF else 4  # bytes that are looked at
+    kept = np.ones((len(values), width), bool)
+    for i in range(1, width):
+        kept[:, i] = values >= 1 << 8 * i
+    extra = kept.sum(1, dtype=np.uint8) - np.uint8(1) if width > 2 else kept[:, 1].view(np.uint8)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = extra
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    data = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)[kept]
     return control.tobytes(), data.tobytes()
 
 
@@ -54,10 +58,11 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     sizes = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
     ends = sizes.cumsum(dtype=np.int64)
     at = ends - sizes
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    out = raw[at]
+    raw = np.frombuffer(data, np.uint8)
+    out = raw[at].astype(np.uint32)
     for i in range(1, int(sizes.max(initial=1))):
-        out |= np.where(sizes > i, raw[at + i] << np.uint32(8 * i), np.uint32(0))
+        longer = np.flatnonzero(sizes > i)
+        out[longer] |= raw[at[longer] + i].astype(np.uint32) << np.uint32(8 * i)
     return out
 
 
@@ -95,11 +100,11 @@ def frequencies(rows: DataFrame) -> np.ndarray:
         counts = np.zeros(0, np.int64)
         for batch in batches:
             width = batch.column("width")[0].as_py() if batch.num_rows else 2
-            for raw in batch.column("ids").to_pylist():
-                own = np.bincount(tokens.numbers(raw, width))
-                if len(own) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(own) - len(counts), np.int64)])
-                counts[: len(own)] += own
+            ids = tokens.all_numbers(batch.column("ids"), width)
+            for first in range(0, len(ids), BLOCK_IDS):
+                own = np.bincount(ids[first : first + BLOCK_IDS], minlength=len(counts))
+                own[: len(counts)] += counts
+                counts = own
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["id", "n"])
 
@@ -168,7 +173,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
             for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload").to_pylist()):
                 keys, lengths, ids, first = _unblock(payload, names)
                 ends = lengths.cumsum(dtype=np.int64)
-                raw = [ids[e - n : e].tobytes() for e, n in zip(ends, lengths)]
+                raw = [memoryview(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 columns = [
                     pa.array(keys, pa.int64()),
                     pa.array(bases[shard] + first + ends - lengths, pa.int64()),
@@ -176,7 +181,9 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                     pa.array([zlib.crc32(r) for r in raw], pa.int64()),
                 ]
                 named = ["doc_id", "start", "n_tokens", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(raw, pa.binary())] * with_ids, named + ["ids"] * with_ids)
+                if with_ids:
+                    columns.append(pa.array([r.tobytes() for r in raw], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, named + ["ids"] * with_ids)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     return blocks.select("shard", "payload").mapInArrow(run, schema)

@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prairie.llm import tokens
-from prairie.llm.batches import FEW, add_columns, give_back
+from prairie.llm.batches import add_columns, give_back
 from prairie.llm.columns import quoted
 from prairie.session import stored, table
 
@@ -33,6 +34,7 @@ END = 0
 DIMENSIONS = 4
 BITS = 12  # of the key, for each dimension
 BUCKETS = 256  # of the hashed vectors
+ROWS = 2048  # texts that are encoded at once, as Arrow holds them
 
 
 def projection(vocabulary: int, dimensions: int = DIMENSIONS, buckets: int = BUCKETS) -> np.ndarray:
@@ -98,15 +100,16 @@ def encoded(docs: DataFrame, key: str, text: str, vocabulary: str, end: int, cur
         table_ = projection(1 << 8 * width if width == 2 else encoder.size) if curve else None
 
         def make(batch: pa.RecordBatch) -> dict[str, list]:
-            ids = encoder.encode([t or "" for t in batch.column("_text").to_pylist()])
-            new = {"width": [width] * len(ids), "n_ids": [len(r) // width for r in ids], "ids": ids}
-            return new | ({"curve": curve_keys(ids, width, table_)} if curve else {})
+            ids = encoder.encode_batch(batch.column("_text"))
+            n_ids = pc.divide(pc.binary_length(ids).cast(pa.int64()), width)
+            new = {"width": [width] * len(ids), "n_ids": n_ids, "ids": ids}
+            return new | ({"curve": curve_keys(ids.to_numpy(zero_copy_only=False).tolist(), width, table_)} if curve else {})
 
         return make
 
     rows = docs.select(quoted(key).alias("_key"), quoted(text).alias("_text"))
     added = "width int, n_ids long, ids binary" + ", curve long" * curve
-    return add_columns(rows, added, begin, drop=("_text",), most=FEW).withColumnRenamed("_key", key)
+    return add_columns(rows, added, begin, drop=("_text",), most=ROWS).withColumnRenamed("_key", key)
 
 
 def running(rows: DataFrame, value: str, *order: str) -> DataFrame:

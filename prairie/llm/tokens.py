@@ -1,10 +1,12 @@
 """Token ids of whole texts, by the tokenizers library, as little-endian bytes.
 
 The vocabulary file is a parameter. A byte-level BPE with the usual word pattern never joins
-text over a single blank or newline between two other characters, so a text is cut there and
-distinct pieces are encoded once and remembered, single words by the library's model alone; a
-part with other white space goes to the library as a whole. A text that spells out a token
-the vocabulary marks as added, as ``<|endoftext|>``, goes to the library as a whole too, which
+text over certain places: before white space, before the last white space of several, behind
+one that is no blank, and between ASCII or Latin letters, digits and ASCII marks (the apostrophe
+apart). The texts of a batch are cut there, on their bytes as Arrow holds them; its distinct
+pieces are encoded once and remembered, words by the library's model alone, and taken back in
+order. Characters that may count as white space are never cut at. A text that spells out a token
+the vocabulary marks as added, as ``<|endoftext|>``, goes to the library as a whole, which
 gives that token's id. Tests hold the result against the library on the whole text.
 
 A worker process keeps its pieces for the tasks that follow. Once ``CACHED`` of them are held,
@@ -17,22 +19,80 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 import threading
 import time
 from array import array
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from prairie.llm.batches import give_back
 
-CACHED = 400_000  # words of a generation, behind a blank, of which a worker remembers two (and as many behind none)
+CACHED = 400_000  # pieces of a generation, with a blank, of which a worker remembers two (and as many without)
 IDLE = 8.0  # seconds
-LONGEST = 64  # characters of a word that is remembered
-_MARKS = ".,;:!?*&$%#"
-_LATIN = "\u0250"  # the first character after the Latin ones
-_SAFE_NEWLINE = re.compile(r"(?<=\S)(\n)(?=\S)")
+LONGEST = 64  # characters of a piece that is remembered
+SLICE = 4 << 20  # bytes of text that are cut at once, if it is not one text
+_LATIN = "\u0240"  # letters of two bytes end before
+
+# Classes of bytes. A place between two bytes is one between pieces as their classes say.
+_UNSURE, _BLANK, _SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(7)
+
+
+def _classes() -> np.ndarray:
+    """The class of each byte; of characters beyond ASCII all are other ones at first, and no white space."""
+    found = np.full(256, _OTHER, np.uint8)
+    for b in range(128):
+        c = chr(b)
+        if c.isalnum():
+            found[b] = _LETTER if c.isalpha() else _DIGIT
+        elif c.isspace():
+            found[b] = _BLANK if c == " " else _SPACE if c in "\t\n\v\f\r" else _UNSURE
+        elif c.isprintable() and c != "'":  # which can begin a word of letters
+            found[b] = _MARK
+    return found
+
+
+def _places() -> np.ndarray:
+    """For two classes (of 8): bit 0, pieces part between the two bytes; bit 1, before the first, if the text goes on."""
+    found = np.zeros((8, 8), np.uint8)
+    white, words = (_BLANK, _SPACE), (_LETTER, _DIGIT, _MARK)
+    for a in range(7):
+        for b in range(7):
+            if b in white and a not in (*white, _UNSURE) or a == _SPACE and b not in (*white, _UNSURE):
+                found[a, b] |= 1
+            if a in words and b in words and a != b:
+                found[a, b] |= 1
+            if a in white and b not in (*white, _UNSURE):
+                found[a, b] |= 2
+    return found.reshape(-1)
+
+
+_CLASS, _PLACE = _classes(), _places()
+#: First two bytes of characters among which are white ones (U+0085, U+00A0, U+1680, U+180E, U+2000 and on, U+3000).
+_WHITE = np.array([0xC285, 0xC2A0, 0xE19A, 0xE1A0, 0xE280, 0xE281, 0xE380], np.uint16)
+
+
+def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the bytes of texts that lie one behind the other and end at ``ends``."""
+    kind = _CLASS[data]
+    if len(data) and data.max() >= 0x80:
+        at = np.flatnonzero(data[:-1] >= 0xC2)
+        two = data[at].astype(np.uint16) << 8 | data[at + 1]
+        latin = at[(two >= 0xC380) & (two <= 0xC8BF) & (two != 0xC397) & (two != 0xC3B7)]  # U+00C0 to U+023F, less two signs
+        kind[latin] = kind[latin + 1] = _LETTER
+        white = at[np.isin(two, _WHITE)]
+        for i in range(3):
+            kind[np.minimum(white[data[white] >= 0xE0] if i == 2 else white, len(data) - 1 - i) + i] = _UNSURE
+    place = _PLACE[kind[:-1] << 3 | kind[1:]]
+    inner = ends[(ends > 0) & (ends < len(data))]
+    place[inner - 1] = 0
+    begins = np.zeros(len(data), bool)
+    begins[1:] = place & 1
+    begins[:-1] |= place > 1
+    begins[inner] = True
+    begins[:1] = True
+    return begins
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -73,39 +133,37 @@ class _Library:
 
 
 class _Pieces(dict):
-    """Id bytes of words behind a blank, or behind nothing; a missing one is taken from the old generation, or encoded."""
+    """Id bytes of pieces; a missing one is taken from the old generation, or encoded.
 
-    def __init__(self, library: _Library, before: str):
+    All begin with a blank, or none does: ``skip`` characters are before the word.
+    """
+
+    def __init__(self, library: _Library, skip: int):
         super().__init__()
-        self.library, self.before = library, before
-        self.shown = "".join(library.table[b] for b in before.encode())
+        self.library, self.skip = library, skip
+        self.shown = library.table[32] * skip
         self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = self  # words behind nothing
 
-    def __missing__(self, word: str) -> bytes:
-        raw = self.old.get(word)
+    def __missing__(self, piece: str) -> bytes:
+        raw = self.old.get(piece)
         if raw is None:
-            raw = self.encoded(word)
-        if len(word) > LONGEST:
+            raw = self.encoded(piece)
+        if len(piece) > LONGEST:
             return raw
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
-        self[word] = raw
+        self[piece] = raw
         return raw
 
-    def encoded(self, word: str) -> bytes:
-        library = self.library
-        if word.isalpha():
-            if word.isascii():  # letters that the vocabulary writes as they are
+    def encoded(self, piece: str) -> bytes:
+        library, word = self.library, piece[self.skip :]
+        if word.isascii():
+            if word.isalpha() or word.isdigit():  # which the vocabulary writes as they are
                 return library.word(self.shown + word)
-            if max(word) < _LATIN:  # other scripts: what counts as a letter is left to the library
-                return library.word(self.shown + word.encode().decode("latin-1").translate(library.table))
-        elif word[-1] in _MARKS and (word.isascii() or max(word) < _LATIN):
-            head = word.rstrip(_MARKS)
-            if head[-1:].isalpha():  # after a letter, a run of these marks is a word of its own
-                return self[head] + self.marks[word[len(head) :]]
-        return library.whole(self.before + word)
+        elif word.isalpha() and max(word) < _LATIN:  # other scripts: what counts as a letter is left to the library
+            return library.word(self.shown + word.encode().decode("latin-1").translate(library.table))
+        return library.whole(piece)
 
 
 class _Worker:
@@ -113,9 +171,7 @@ class _Worker:
 
     def __init__(self, path: str):
         self.library = _Library(path)
-        self.first, self.spaced = _Pieces(self.library, ""), _Pieces(self.library, " ")
-        self.spaced.marks = self.first
-        self.newline = self.library.whole("\n")
+        self.first, self.spaced = _Pieces(self.library, 0), _Pieces(self.library, 1)
         self.used, self.watched = time.monotonic(), False
 
     def use(self) -> None:
@@ -134,18 +190,17 @@ class _Worker:
             pieces.clear()
         give_back()
 
-    def text(self, text: str) -> bytes:
-        """Ids of a text: of its words one by one, where single blanks and newlines are all that parts them."""
-        if not text:
-            return b""
-        lines = [line.split(" ") for line in text.split("\n")]
-        if text.split() == list(chain.from_iterable(lines)):
-            first, spaced = self.first.__getitem__, self.spaced.__getitem__
-            return self.newline.join([b"".join([first(words[0]), *map(spaced, words[1:])]) for words in lines])
-        parts = _SAFE_NEWLINE.split(text)
-        if len(parts) > 1:
-            return b"".join([self.newline if part == "\n" else self.text(part) for part in parts])
-        return self.library.whole(text)
+    def pieces(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of each piece, in any order: it says nothing of its neighbours."""
+        behind = pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False).tolist()
+        spaced, first = self.spaced, self.first
+        collecting = gc.isenabled()
+        gc.disable()  # many strings and no cycles
+        try:
+            return [spaced[p] if b else first[p] for p, b in zip(pieces.to_numpy(zero_copy_only=False).tolist(), behind)]
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _HELD: dict[str, _Worker] = {}  # of this process, by vocabulary
@@ -165,17 +220,50 @@ class Encoder:
         self.end = array(library.code, [end]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_batch(pa.array(texts, pa.large_string())).to_pylist()
+
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        """Ids of an array of texts (null: empty), as an array of bytes."""
         self.worker.use()
-        one, end, added, whole = self.worker.text, self.end, self.worker.library.added, self.worker.library.whole
-        collecting = gc.isenabled()
-        gc.disable()  # millions of strings and no cycles
-        try:
-            return [(whole(t) if any(a in t for a in added) else one(t)) + end for t in texts]
-        finally:
-            if collecting:
-                gc.enable()
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        made, first = [], 0
+        while first < len(texts):
+            last = max(int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1, first + 1)
+            last = min(last, len(texts))
+            made.append(self._slice(texts.slice(first, last - first), offsets[first : last + 1]))
+            first = last
+        return pa.concat_arrays(made).cast(pa.binary()) if made else pa.array([], pa.binary())
+
+    def _slice(self, texts: pa.Array, offsets: np.ndarray) -> pa.Array:
+        """Pieces and an empty one behind each text, all of which lie in one buffer; their ids likewise."""
+        n, ends = len(texts), offsets[1:] - offsets[0]
+        buffer = texts.buffers()[2]
+        data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer else np.zeros(0, np.uint8)
+        begins = cuts(data, ends)
+        for word in self.worker.library.added:
+            for i in np.flatnonzero(pc.match_substring(texts, word).to_numpy(zero_copy_only=False)):
+                begins[ends[i - 1] + 1 if i else 1 : ends[i]] = False
+        starts = np.flatnonzero(begins)
+        before = np.searchsorted(starts, ends)  # pieces of this text and those before
+        bounds = np.append(np.insert(starts, before, ends), ends[-1])
+        pieces = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        distinct = pieces.dictionary
+        ids = self.worker.pieces(distinct)
+        ids[pc.index(distinct, "").as_py()] = self.end
+        taken = pa.array(ids, pa.large_binary()).take(pieces.indices)
+        last = np.concatenate([[0], before + np.arange(1, n + 1)])  # the piece behind each text's empty one
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :][last]
+        return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), taken.buffers()[2]])
 
 
 def numbers(raw: bytes, width: int) -> np.ndarray:
     """Ids of bytes in which each takes ``width`` bytes."""
     return np.frombuffer(raw, f"<u{width}")
+
+
+def all_numbers(column: pa.Array, width: int) -> np.ndarray:
+    """Ids of a whole column of such bytes (without nulls), one row behind the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1] if len(column) else [0]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(f"<u{width}") if data else numbers(b"", width)

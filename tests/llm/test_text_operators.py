@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from prairie.llm import binary, chat, decontaminate, hmm, packing, quality, secrets, tokens, toxicity
@@ -226,6 +227,43 @@ def test_pieces_encode_as_the_whole(library):
         assert tokens.numbers(raw, 2).tolist() == library(text) + [0], repr(text)
 
 
+def test_batch_is_cut_on_its_bytes(library, monkeypatch):
+    rng = np.random.default_rng(3)
+    parts = [*"azAZ09.,-_\"(<$'\n\t\r\x0b\x1c\x1f\x7f\x85\xa0×÷ÀßɏɀʰαЖ日\u180e\u2003\u2028\u200b\u3000。“—😀²½", *[" "] * 12, *["\n"] * 4, *["'"] * 4, "'s", "don't", "<|endoftext|>", "<|endoftext"]
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(0, 30))) for _ in range(4000)]
+    texts[::9] = [None] * len(texts[::9])
+    encoder = tokens.Encoder(tokens.vocabulary(), 2)
+    for size in (tokens.SLICE, 100):
+        monkeypatch.setattr(tokens, "SLICE", size)
+        column = pa.array(["before", *texts, "behind"]).slice(1, len(texts))
+        for text, raw in zip(texts, encoder.encode_batch(column).to_pylist()):
+            assert tokens.numbers(raw, 2).tolist() == library(text) + [2], repr(text)
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [encoder.end] * 2
+
+
+def test_batch_asks_for_each_piece_once(library, monkeypatch):
+    """Python sees the distinct pieces of a batch, and a word is the same with any mark or number beside it."""
+    asked, encoded = [], []
+    pieces, whole, word = tokens._Worker.pieces, tokens._Library.whole, tokens._Library.word
+    monkeypatch.setattr(tokens._Worker, "pieces", lambda self, p: asked.append(len(p)) or pieces(self, p))
+    monkeypatch.setattr(tokens._Library, "whole", lambda self, t: encoded.append(t) or whole(self, t))
+    monkeypatch.setattr(tokens._Library, "word", lambda self, t: encoded.append(t) or word(self, t))
+    monkeypatch.setattr(tokens, "_HELD", {})
+    rng = np.random.default_rng(4)
+    words = [w + m for w in ("eins", "zwei", "drei", "größer") for m in ("", ",", "-", ")", "/7", "?!", '"')]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 300)) for _ in range(200)]
+    got = tokens.Encoder(tokens.vocabulary(), 0).encode(texts)
+    assert [tokens.numbers(raw, 2).tolist() for raw in got] == [library(t) + [0] for t in texts]
+    assert len(asked) == 1 and len(encoded) <= asked[0] <= 20  # 4 words with a blank and without, 6 marks, a number, the end
+
+
+def test_ids_of_a_column_are_counted_together(spark):
+    rows = spark.createDataFrame([(2, np.array(i, "<u2").tobytes()) for i in ([5, 3, 5], [], [3, 9, 5], [1])], "width int, ids binary")
+    assert binary.frequencies(rows.coalesce(1)).tolist() == [5, 3, 1, 9]
+    column = pa.array([b"\1\0", b"\2\0\3\0", b"", b"\4\0"])
+    assert tokens.all_numbers(column.slice(1, 2), 2).tolist() == [2, 3] and not len(tokens.all_numbers(column.slice(0, 0), 2))
+
+
 def test_packing_is_gapless_and_whole(spark, library):
     pieces = packing.pack(cases.documents(spark), length=64).collect()
     docs = {}
